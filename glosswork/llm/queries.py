@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glosswork.llm.ann import nearest
+from glosswork.llm.decontam import leaks
+from glosswork.llm.htmltext import extract_text
+from glosswork.llm.langid import identify
 from glosswork.llm.linededup import dedup_lines
 from glosswork.llm.mixing import mix_plan
+from glosswork.llm.ngramjoin import ngram_components
 from glosswork.llm.secrets import BASE_RULES, find_secrets, span_list
+from glosswork.llm.toxicity import fit, score_toxicity
 from glosswork.llm.urls import RULES, judge_urls
 
 
@@ -19,11 +25,32 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind))
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge_urls(table(spark, sf_dir, "pages"))
     return out.select("page_id", F.col("_url_host").alias("host"), F.col("_url_path").alias("path"), F.col("_url_rule").alias("rule"), F.col("_url_verdict").alias("verdict"))
 
 
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), output="text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_ld_n_lines").alias("n_lines"), F.col("_ld_n_dropped").alias("n_dropped"), F.sha2("_ld_kept", 256).alias("kept_sha256"))
@@ -34,6 +61,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_mix_size").alias("size"), F.col("_mix_total").alias("source_size"), F.col("_mix_target").alias("target"), (F.col("_mix_size") * F.col("_mix_copies")).alias("taken"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("_sec_spans")
@@ -42,7 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(spans).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op7_line_dedup, op8_mix_sources, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_language_id, op3_url_filter, op4_nearest_vectors, op5_decontaminate, op6_main_text, op7_line_dedup, op8_mix_sources, op9_toxicity, op10_secret_scan)}
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -90,3 +122,30 @@ ORACLES["op3_url_filter"] = rf"""
                regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages)
     SELECT page_id, host, path, CASE {_RULE_CASES['rule']} END AS rule, CASE {_RULE_CASES['verdict']} ELSE 'allow' END AS verdict FROM parts
 """
+
+ORACLES["op1_ngram_join"] = rf"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, rn, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s FROM worded),
+    sized AS (SELECT doc_id, rn, len(s) AS n, s FROM sets),
+    grams AS (SELECT rn, n, unnest(s) AS g FROM sized),
+    links AS (
+        SELECT a.rn AS x, b.rn AS y FROM grams a JOIN grams b ON a.g = b.g AND a.rn <> b.rn
+        GROUP BY a.rn, b.rn, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach(x, y) AS (SELECT rn, rn FROM sized UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+    SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+    FROM sized s JOIN reach r ON s.rn = r.x JOIN sized t ON t.rn = r.y GROUP BY s.rn, s.doc_id, s.n
+"""
+ORACLES["op4_nearest_vectors"] = """
+    WITH v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+    p AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.l * c.l) AS score
+        FROM n q JOIN n c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, rank::INT AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""

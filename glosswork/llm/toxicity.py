@@ -7,7 +7,9 @@ loss flows through the noisy-or into the sentence model, which then tells the
 offending sentences.
 
 Sentences end after ``.``, ``!``, ``?`` or at a line feed. Words are maximal runs of ASCII
-letters and digits and non-ASCII bytes, A-Z lower-cased, hashed into ``2**BUCKET_BITS`` weights.
+letters and digits and non-ASCII bytes, A-Z and the capitals of Latin-1 lower-cased. A word
+counts as itself and by its first bytes (``PREFIXES``), so that inflected forms share what
+their stem tells; all are hashed into ``2**BUCKET_BITS`` weights.
 
 The model is fitted on at most ``SAMPLE_ROWS`` labelled documents, in equal parts
 for the two labels, chosen by a hash of the id; intercept and weights are then
@@ -34,23 +36,36 @@ from pyspark.sql import functions as F
 from glosswork.llm.decontam import GAP
 from glosswork.llm.langid import held_out, sample_ids
 from glosswork.llm.store import ship_package
-from glosswork.llm.tokens import hash_words, runs, word_bounds
+from glosswork.llm.tokens import hash_words, mix, runs, word_bounds
 
 SAMPLE_ROWS, BUCKET_BITS, THRESHOLD = 8192, 18, 0.3
 #: Words of fewer sampled documents get no weight of their own.
 LEAST_DOCS = 4
 STEPS, RATE, SHRINK = 150, 0.15, 2e-4
+#: Besides the whole word, its first so many bytes are features of a longer word.
+PREFIXES = (4, 6, 8)
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?\n"]] = True
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a run of texts: bucket of each word, sentence of each word, text of each sentence, byte end of each sentence.
+    """Of a run of texts: bucket of each feature, sentence of each feature, text of each sentence, byte end of each sentence.
 
-    Every text has at least one sentence; sentences are numbered over the run.
+    Every text with bytes has at least one sentence; sentences are numbered over the run.
     """
+    lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+    if len(lead):  # the capitals of Latin-1
+        data = data.copy()
+        own = data[lead]
+        data[lead] = np.where((own <= 0x9E) & (own != 0x97), own | 0x20, own)
     starts, ends, _ = word_bounds(data, offsets, GAP)
-    buckets = (hash_words(data, starts, ends) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    hashes, at = [hash_words(data, starts, ends)], [ends]
+    for n in PREFIXES:
+        long = ends - starts > n
+        hashes.append(mix(hash_words(data, starts[long], starts[long] + n) ^ np.uint64(n)))
+        at.append(ends[long])
+    buckets = (np.concatenate(hashes) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    ends = np.concatenate(at)
     stops = np.union1d(np.flatnonzero(_END[data]) + 1, offsets[1:])
     stops = np.append(stops, np.full(int((np.diff(offsets) == 0).sum()), -1))  # texts without bytes
     stops = stops[stops > 0] if len(data) else np.zeros(0, np.int64)
@@ -79,7 +94,7 @@ def noisy_or(logits: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
 
 
 def train(bags: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> BagModel:
-    """bags: (label, bucket of each word, sentence of each word). share: of label 1 among all labelled documents."""
+    """bags: (label, bucket of each feature, sentence of each feature). share: of label 1 among all labelled documents."""
     label = np.array([b[0] for b in bags], np.float64)
     seen = np.zeros(1 << BUCKET_BITS, np.int64)
     for _, buckets, _ in bags:

@@ -38,7 +38,7 @@ from glosswork.llm.langid import held_out, sample_ids
 from glosswork.llm.store import ship_package
 from glosswork.llm.tokens import hash_words, mix, runs, word_bounds
 
-SAMPLE_ROWS, BUCKET_BITS, THRESHOLD = 8192, 18, 0.3
+SAMPLE_ROWS, BUCKET_BITS, THRESHOLD = 4096, 18, 0.3
 #: Words of fewer sampled documents get no weight of their own.
 LEAST_DOCS = 4
 STEPS, RATE, SHRINK = 150, 0.15, 2e-4
@@ -94,22 +94,21 @@ def noisy_or(logits: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
 
 
 def train(bags: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> BagModel:
-    """bags: (label, bucket of each feature, sentence of each feature). share: of label 1 among all labelled documents."""
+    """bags: (label, features, their sentences), each feature once a sentence. share: of label 1 among all labelled documents."""
     label = np.array([b[0] for b in bags], np.float64)
     seen = np.zeros(1 << BUCKET_BITS, np.int64)
     for _, buckets, _ in bags:
         seen[np.unique(buckets)] += 1
-    column = np.full(1 << BUCKET_BITS, -1, np.int64)
+    column = np.full(1 << BUCKET_BITS, -1, np.int32)
     vocabulary = np.flatnonzero(seen >= min(LEAST_DOCS, max(1, len(bags) // 50)))
-    column[vocabulary] = np.arange(len(vocabulary))
+    column[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
     cols, rows, bag, at = [], [], [], 0
     for k, (_, buckets, sentence) in enumerate(bags):
-        n = int(sentence.max()) + 1 if len(sentence) else 1
         own = column[buckets]
-        key = np.unique((sentence[own >= 0] << BUCKET_BITS) | own[own >= 0])
-        cols.append(key & ((1 << BUCKET_BITS) - 1))
-        rows.append((key >> BUCKET_BITS) + at)
-        bag.append(np.full(n, k))
+        cols.append(own[own >= 0])
+        rows.append((sentence[own >= 0] + at).astype(np.int32))
+        n = int(sentence.max()) + 1 if len(sentence) else 1
+        bag.append(np.full(n, k, np.int32))
         at += n
     cols, rows, bag = np.concatenate(cols), np.concatenate(rows), np.concatenate(bag)
     positive = label.mean()
@@ -121,12 +120,12 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> BagMo
     w = np.zeros(len(vocabulary))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
-        z = np.bincount(rows, weights=w[cols], minlength=at) + bias
+        z = np.bincount(rows, weights=w.astype(np.float32)[cols], minlength=at) + bias
         total = np.bincount(bag, weights=np.logaddexp(0.0, z), minlength=len(bags))
         # loss = -y log(1 - exp(-total)) + (1 - y) total
         slope = cost * np.where(label == 1, -1.0 / np.expm1(np.maximum(total, 1e-9)), 1.0)
         dz = slope[bag] / (1.0 + np.exp(-z))
-        gw = np.bincount(cols, weights=dz[rows], minlength=len(w)) / len(bags) + SHRINK * np.sign(w)
+        gw = np.bincount(cols, weights=dz.astype(np.float32)[rows], minlength=len(w)) / len(bags) + SHRINK * np.sign(w)
         gb = dz.sum() / len(bags)
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -145,8 +144,9 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(len(offsets) - 1):
                 own = data[offsets[k] : offsets[k + 1]]
                 buckets, sentence, _, _ = sentences(own, np.array([0, len(own)]))
-                words.append(buckets.astype(np.int32).tobytes())
-                sents.append(sentence.astype(np.int32).tobytes())
+                key = np.unique((sentence << BUCKET_BITS) | buckets)
+                words.append((key & ((1 << BUCKET_BITS) - 1)).astype(np.int32).tobytes())
+                sents.append((key >> BUCKET_BITS).astype(np.int32).tobytes())
         if batch.num_rows:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), pa.array(sents, pa.binary())], names=["toxic", "words", "sents"])
 
@@ -154,25 +154,29 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SCORE_SCHEMA = "doc_id long, held_out boolean, score double, predicted int, worst_sentence int, worst_score double"
 
 
+def _document_scores(model: BagModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score, number of the worst sentence or -1, its score) of each text."""
+    n = len(texts)
+    score, worst, worst_score = np.zeros(n), np.full(n, -1, np.int32), np.zeros(n)
+    for first, data, offsets in runs(texts):
+        buckets, sentence, text, _ = sentences(data, offsets)
+        if not len(text):
+            continue
+        z = model.sentence_logits(buckets, sentence, len(text))
+        k = len(offsets) - 1
+        score[first : first + k] = np.clip(noisy_or(z, text, k), 0.0, 1.0)
+        order = np.lexsort((np.arange(len(z)), -z, text))
+        lead = order[np.flatnonzero(np.append(True, np.diff(text[order]) > 0))]
+        at = first + text[lead]
+        worst[at] = lead - np.searchsorted(text, text[lead])
+        worst_score[at] = 1.0 / (1.0 + np.exp(-z[lead]))
+    return score, worst, worst_score
+
+
 def _score(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: BagModel = shared.value
         for batch in batches:
-            n = batch.num_rows
-            score, worst, worst_score = np.zeros(n), np.full(n, -1, np.int32), np.zeros(n)
-            for first, data, offsets in runs(batch.column(2)):
-                buckets, sentence, text, _ = sentences(data, offsets)
-                if not len(text):
-                    continue
-                z = model.sentence_logits(buckets, sentence, len(text))
-                k = len(offsets) - 1
-                score[first : first + k] = noisy_or(z, text, k)
-                order = np.lexsort((np.arange(len(z)), -z, text))
-                lead = order[np.flatnonzero(np.append(True, np.diff(text[order]) > 0))]
-                at = first + text[lead]
-                worst[at] = lead - np.searchsorted(text, text[lead])
-                worst_score[at] = 1.0 / (1.0 + np.exp(-z[lead]))
-            score = np.clip(score, 0.0, 1.0)
+            score, worst, worst_score = _document_scores(shared.value, batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(worst, mask=worst < 0), pa.array(worst_score)], names=["doc_id", "held_out", "score", "predicted", "worst_sentence", "worst_score"]
             )
@@ -192,10 +196,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     # At most sample_rows ids are broadcast, and their words collected.
     sample = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").select("toxic", "text")
-    found = sample.mapInArrow(_bags, "toxic int, words binary, sents binary").collect()
-    if len({r.toxic for r in found}) < 2:
+    found = sample.mapInArrow(_bags, "toxic int, words binary, sents binary").toLocalIterator()
+    bags = [(r.toxic, np.frombuffer(r.words, np.int32), np.frombuffer(r.sents, np.int32)) for r in found]
+    if len({b[0] for b in bags}) < 2:
         return None
-    return train([(r.toxic, np.frombuffer(r.words, np.int32).astype(np.int64), np.frombuffer(r.sents, np.int32).astype(np.int64)) for r in found], counts[1] / sum(counts.values()))
+    return train(bags, counts[1] / sum(counts.values()))
 
 
 def score_toxicity(docs: DataFrame, model: BagModel | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -206,6 +211,20 @@ def score_toxicity(docs: DataFrame, model: BagModel | None, *, id_col: str = "do
     return rows.mapInArrow(_score(shared, threshold), SCORE_SCHEMA)
 
 
+def drop_toxic(docs: DataFrame, model: BagModel | None, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, as they are; nothing is shuffled."""
+    if model is None:
+        return docs
+    ship_package(docs.sparkSession)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_document_scores(shared.value, batch.column(at))[0] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def offending_sentences(docs: DataFrame, model: BagModel, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """(doc_id, sentence, start, end, score): sentences over ``threshold``; offsets are code points, ends exclusive."""
     ship_package(docs.sparkSession)

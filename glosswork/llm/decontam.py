@@ -201,3 +201,25 @@ def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col
         part = texts.mapInArrow(_scan(shared), MATCH_SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], MATCH_SCHEMA)
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_text_col: str = "text", edit_every: int = EDIT_EVERY, least_words: int = LEAST_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no passage within any item's budget, as they are; nothing is shuffled."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    at, schema = docs.columns.index(text_col), docs.schema
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for first, h, word_of in word_ids(batch.column(at)):
+                    keep[[first + text for text, _ in _matches(shared.value, h, word_of)]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    numbered = items.select(F.lit(0).alias("item_id"), F.col(item_text_col).alias("text"))
+    for ids, found in item_blocks(numbered, "item_id", "text", block_bytes):
+        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(prepare(ids, found, edit_every, least_words))), schema)
+    return docs

@@ -10,7 +10,7 @@ Only hashes are shuffled to find the lines; each text is shuffled once, to meet
 the list of its dropped lines. A line is known by two 64-bit hashes of its key.
 
 Defined results
-* null or empty text is one empty line, which is kept;
+* empty text is one empty line, which is kept; so is null text, whose kept text stays null;
 * a null id counts as larger than every other id, and all its rows as one document;
 * rows that repeat an id are one document: none loses lines to another;
 * keys shorter than ``min_chars`` code points are always kept;
@@ -103,7 +103,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     dropped = dropped.where(F.col("_ld_seen") | (F.col("_ld_id") > F.col("_ld_owner")))
     dropped = dropped.groupBy("_ld_id", "_ld_text").agg(F.collect_set("_ld_pos").alias("_ld_drops"))
 
-    whole = docs.withColumns({"_ld_id": ident, "_ld_text": F.xxhash64(text), "_ld_lines": F.split(text, "\n", -1)}).drop(text_col)
+    whole = docs.withColumns({"_ld_id": ident, "_ld_text": F.xxhash64(text), "_ld_lines": F.split(text, "\n", -1), "_ld_null": F.col(text_col).isNull()}).drop(text_col)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), F.coalesce("_ld_drops", F.array().cast("array<int>")))
     # One struct holds the list of what stays, so that it is made once.
     done = whole.join(dropped, ["_ld_id", "_ld_text"], "left").withColumn("_ld_keep", kept)
@@ -111,5 +111,5 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         *[F.col(f"`{c}`") for c in docs.columns if c != text_col],
         F.size("_ld_lines").cast("long").alias("_ld_n_lines"),
         (F.size("_ld_lines") - F.size("_ld_keep")).cast("long").alias("_ld_n_dropped"),
-        F.when(F.size("_ld_keep") == F.size("_ld_lines"), F.array_join("_ld_lines", "\n")).otherwise(F.array_join(F.transform("_ld_keep", lambda i: F.get("_ld_lines", i)), "\n")).alias("_ld_kept"),
+        F.when(F.col("_ld_null"), None).when(F.size("_ld_keep") == F.size("_ld_lines"), F.array_join("_ld_lines", "\n")).otherwise(F.array_join(F.transform("_ld_keep", lambda i: F.get("_ld_lines", i)), "\n")).alias("_ld_kept"),
     )

@@ -53,7 +53,7 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_ld_n_lines").alias("n_lines"), F.col("_ld_n_dropped").alias("n_dropped"), F.sha2("_ld_kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", F.col("_ld_n_lines").alias("n_lines"), F.col("_ld_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("_ld_kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,8 +121,9 @@ def split_sub_entry(segments: Column) -> Column:
     head go back to the Han column if a bar is among them; a full stop right after it belongs to it if text follows.
     """
     marks = F.transform(segments, is_italic_content)
-    first = F.array_position(marks, F.lit(True)).cast("int")
-    last = (F.size(segments) - F.array_position(F.reverse(marks), F.lit(True)) + 1).cast("int")
+    # Null without italic content, and then so is all that follows.
+    first = F.nullif(F.array_position(marks, F.lit(True)), F.lit(0)).cast("int")
+    last = (F.size(segments) - F.nullif(F.array_position(F.reverse(marks), F.lit(True)), F.lit(0)) + 1).cast("int")
     before = _joined(segments, F.lit(1), first - 1)
     middle = _joined(segments, first, last - first + 1)
     after = _joined(segments, last + 1, F.greatest(F.size(segments) - last, F.lit(0)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,13 +68,11 @@ def fold_text(s: str) -> str:
 
 def nfc(c: Column) -> Column:
     """Canonical composition; Spark has no built-in, so an Arrow function is used, once, at ingest."""
-    import pandas as pd
+    return F.pandas_udf(_compose, "string")(c)
 
-    @F.pandas_udf("string")
-    def compose(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
-    return compose(c)
+def _compose(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
 def slug_stem(c: Column) -> Column:

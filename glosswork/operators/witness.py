@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from glosswork.functions.text import shape_note, trim, unicode_glyph, wiki_plain, witness_fold
 from glosswork.operators.ordered import islands
+from glosswork.session import ship_package
 
 # Template names, how far the walk looks ahead, how long a telling definition is, the kinds of findings.
 ENTRY_TEMPLATE, SUB_TEMPLATE = "DNQATV/mục", "DNQATV/nghĩa"
@@ -66,6 +67,7 @@ def read_witness(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     A sub-entry belongs to the nearest entry above it on its page; those above the first entry are dropped.
     entries: page_no, ordinal, glyph_field, reading, alternate, label, gloss, title, quality. subs: page_no, ordinal, sub_no, han, form, definition.
     """
+    ship_package(pages.sparkSession)
 
     @F.udtf(returnType="at int, is_entry boolean, fields array<string>")
     class Templates:

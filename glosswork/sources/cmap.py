@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glosswork.session import ship_package
+
 _TOKEN = re.compile(r"<<|<([^>]*)>|(\[)|(\])|([A-Za-z][A-Za-z0-9_]*)", re.A)
 _HEX = re.compile(r"[0-9A-Fa-f]+\Z")
 
@@ -127,6 +129,7 @@ class CMapRows:
 
 def font_codes(fonts: DataFrame) -> DataFrame:
     """(page, font, two_byte, style, code, text) from fonts (page, font, two_byte, style, cmap). A null map has no rows, so each of its codes is unmapped."""
+    ship_package(fonts.sparkSession)
     return fonts.where("cmap is not null").lateralJoin(CMapRows(F.col("cmap").outer())).drop("cmap")
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glosswork.session import ship_package
 from glosswork.sources.cmap import decode_codes
 
 #: A page's stream is larger than this only if something is wrong.
@@ -127,6 +128,7 @@ def drawn(src: bytes) -> Iterator[tuple[int, float, float, str, bytes]]:
 
 def shown_strings(pages: DataFrame) -> DataFrame:
     """(book, page, width, run_no, x, y, font, codes) from pages (book, page, width, content binary)."""
+    ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -7,13 +7,14 @@ back, which cuts the lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from glosswork.session import ship_package
+
+__all__ = ["Scratch", "ship_package"]
+
 #: Used only where the session names no shared folder, as in local tests.
 FALLBACK_DIR = "/tmp/glosswork-checkpoint"
 
@@ -42,20 +43,3 @@ class Scratch:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's sources to the Python workers, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp(prefix="glosswork-")) / "glosswork.zip"
-    with zipfile.ZipFile(path, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(path))
-    _shipped.add(context.applicationId)

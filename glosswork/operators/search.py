@@ -193,6 +193,12 @@ def folded_contains(c: Column, raw: str) -> Column:
 
 
 def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(token, key, positions): the inverted index."""
-    flat = rows.select(key, F.posexplode(tokens(F.col(text))).alias("at", "token"))
-    return flat.groupBy("token", key).agg(F.array_sort(F.collect_list("at")).alias("positions"))
+    """(token, key, positions): the inverted index. A text is indexed where it lies; nothing is shuffled."""
+    placed = F.sort_array(F.transform(tokens(F.col(text)), lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    own = rows.select(key, placed.alias("_p"))
+    # Equal tokens are neighbours now: a group starts where the token changes. Without tokens there is no list of starts.
+    starts = F.filter(F.when(F.size("_p") > 0, F.sequence(F.lit(0), F.size("_p") - 1)), lambda i: (i == 0) | (F.get("_p", i)["t"] != F.get("_p", i - 1)["t"]))
+    own = own.withColumn("_s", starts)
+    ends = lambda j: F.coalesce(F.get("_s", j + 1), F.size("_p"))
+    groups = F.transform("_s", lambda s, j: F.struct(F.get("_p", s)["t"].alias("token"), F.transform(F.slice("_p", s + 1, ends(j) - s), lambda x: x["i"]).alias("positions")))
+    return own.select(key, F.explode(groups).alias("_g")).select("_g.token", key, "_g.positions")

@@ -266,3 +266,8 @@ def test_column_boundaries(spark):
     assert findings(spark, ours, theirs, subs, [(0, 1, "女 - 男 婚", "Nữ - nam hôn.", "Gái có chồng, trai có vợ."), (0, 2, "", "- y", "id."), (0, 3, "", "- z", "id.")]) == []
     leaked = [(0, 1, "女", "| 男 婚 Nữ ― nam hôn", "Gái có chồng, trai có vợ", False)]
     assert [x[0] for x in findings(spark, ours, theirs, leaked, [(0, 1, "女 - 男 婚", "Nữ - nam hôn", "Gái có chồng, trai có vợ")])] == ["column_boundary"]
+
+
+def test_postings(spark):
+    df = spark.createDataFrame([(1, "b a B"), (2, ""), (3, None), (4, "á")], "k int, t string")
+    assert rows(search.postings(df, "k", "t"), "k", "token") == [("a", 1, [1]), ("b", 1, [0, 2]), ("a", 4, [0])]

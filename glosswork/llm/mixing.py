@@ -19,8 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glosswork.llm.store import Scratch
+
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 52
+#: The table of sources is broadcast up to this size; beyond it, rows and sources meet in a join that splits hot sources.
+BROADCAST_BYTES = 8 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -61,6 +65,10 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """One row for each row of ``docs``: its columns plus size, source size, target and copies, as ``_mix_`` columns."""
     sized = docs.withColumns({"_mix_size": word_count(F.col(text_col)), "_mix_key": F.col(source_col)})
     totals = source_targets(sized.select(F.col("_mix_key").alias("_mix_source"), "_mix_size"), weights, share, cap)
+    totals = Scratch(docs.sparkSession, "mixing").write(totals, "targets")
+    width = totals.agg(F.sum(F.coalesce(F.octet_length("_mix_source"), F.lit(0)) + 48)).head()[0] or 0
+    if width <= BROADCAST_BYTES:
+        totals = F.broadcast(totals)
     rate = F.when(F.col("_mix_total") > 0, F.col("_mix_target") / F.col("_mix_total")).otherwise(F.lit(0.0))
     joined = sized.join(totals, F.col("_mix_key").eqNullSafe(F.col("_mix_source")))
     copies = F.floor(rate) + (draw(F.col(id_col), seed) < rate - F.floor(rate)).cast("long")

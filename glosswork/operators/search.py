@@ -192,6 +192,32 @@ def folded_contains(c: Column, raw: str) -> Column:
     return fold(c).contains(fold_text(raw))
 
 
+def browser_search(entries: DataFrame, raw: str, mode: str = "auto", limit: int = SUGGESTIONS) -> DataFrame:
+    """The offline edition's rules: case is ignored, full text is a substring, and similar readings come only without other hits.
+
+    ``entries``: seq, reading, reading_norm, glyph and ``folded_text``. Gives seq and ``tier``.
+    """
+    q = parse_query(raw, mode)
+    lower, own = q.text.lower(), F.lower("reading")
+    if q.mode == "han-nom":
+        conditions = [(RANK["exact_glyph"], F.col("glyph") == q.text)]
+    elif q.mode == "toan-van":
+        conditions = [(RANK["full_text"], F.col("folded_text").contains(q.folded) if q.folded else F.lit(False))]
+    else:
+        conditions = [
+            (RANK["exact_reading"], own == lower),
+            (RANK["exact_glyph"], F.col("glyph") == q.text),
+            (RANK["prefix_reading"], own.startswith(lower)),
+            (RANK["unaccented_reading"], F.col("reading_norm") == q.folded),
+        ]
+    hits = ranked(entries, conditions).select("seq", "tier")
+    if q.mode != "quoc-ngu" or len(q.folded) < 2:
+        return hits
+    close = entries.withColumn("_s", similarity(F.col("reading"), q.text)).where(F.col("_s") >= SIMILAR).orderBy(F.desc("_s"), "seq").limit(limit)
+    none = hits.limit(1).agg((F.count("*") == 0).alias("_none"))
+    return hits.unionByName(close.crossJoin(none).where("_none").select("seq", F.lit(RANK["fuzzy"]).alias("tier")))
+
+
 def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(token, key, positions): the inverted index. A text is indexed where it lies; nothing is shuffled."""
     placed = F.sort_array(F.transform(tokens(F.col(text)), lambda t, i: F.struct(t.alias("t"), i.alias("i"))))

@@ -93,6 +93,36 @@ class Catalog:
         return self.entry.groupBy("letter").agg(F.count("*").alias("entries"))
 
 
+#: What the store must hold: columns by table, as type strings.
+STORE = {
+    "entry": {"seq": "int", "slug": "string", "reading": "string", "reading_norm": "string", "glyph": "string", "pos": "array<string>", "gloss": "string", "needs_review": "boolean", "words": "string"},
+    "sub_entry": {"seq": "int", "form": "string", "form_expanded": "string", "definition": "string", "needs_review": "boolean"},
+    "glyph": {"glyph": "string", "codepoint": "int", "kind": "string"},
+    "page": {"page": "int", "printed_page": "int", "letter": "string"},
+    "front_matter": {"page": "int", "title": "string", "body": "string"},
+}
+
+
+def inspect_store(tables: dict[str, DataFrame]) -> list[str]:
+    """What is wrong with a store: missing tables, missing columns, columns of another type."""
+    faults = []
+    for name, columns in STORE.items():
+        if name not in tables:
+            faults.append(f"no table {name}")
+            continue
+        have = dict(tables[name].dtypes)
+        faults += [f"{name}.{c}: {have.get(c, 'missing')}, not {t}" for c, t in columns.items() if have.get(c) != t]
+    return faults
+
+
+def orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """(relation, n) of rows that refer to nothing; Spark has no foreign keys, so a load checks them."""
+    entry, sub, glyph, page = (tables[n] for n in ("entry", "sub_entry", "glyph", "page"))
+    checks = {"sub_entry to entry": sub.join(entry, "seq", "left_anti"), "entry to glyph": entry.where("glyph is not null").join(glyph, "glyph", "left_anti"), "entry to page": entry.join(page, "page", "left_anti")}
+    parts = [df.agg(F.lit(name).alias("relation"), F.count("*").alias("n")) for name, df in checks.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def running_place(rows: DataFrame, order: str) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(Window.orderBy(order)))
 

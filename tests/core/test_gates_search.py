@@ -271,3 +271,11 @@ def test_column_boundaries(spark):
 def test_postings(spark):
     df = spark.createDataFrame([(1, "b a B"), (2, ""), (3, None), (4, "á")], "k int, t string")
     assert rows(search.postings(df, "k", "t"), "k", "token") == [("a", 1, [1]), ("b", 1, [0, 2]), ("a", 4, [0])]
+
+
+def test_offline_rules(seed):
+    own = seed.withColumn("folded_text", fold(F.concat_ws(" ", "gloss", "sub_text")))
+    got = lambda q, mode="auto": rows(search.browser_search(own, q, mode), "tier", "seq")
+    assert got("LÕM") == [(2, 0), (7, 2), (3, 3), (4, 3)]
+    assert got("惡") == [(5, 1), (6, 1)] and got("NAM guom", "toan-van") == [(2, 4)]
+    assert got("lomm") and {t for _, t in got("lomm")} == {5} and got("zz") == []

@@ -139,3 +139,14 @@ def test_query_equals_sql(spark, sf_dir, name):
     show = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v
     expected = sorted(repr([show(r[i]) for i in at]) for r in cursor.fetchall())
     assert sorted(repr([show(v) for v in r]) for r in df.select(*columns).collect()) == expected
+
+
+def test_stores_are_inspected(catalog):
+    from glosswork.plans.catalog import inspect_store, orphans
+
+    tables = {n: getattr(catalog, n) for n in ("entry", "sub_entry", "glyph", "page", "front_matter")}
+    assert inspect_store(tables) == []
+    assert {r.n for r in orphans(tables).collect()} == {0}
+    broken = tables | {"page": tables["page"].withColumn("page", F.col("page").cast("string"))}
+    del broken["glyph"]
+    assert inspect_store(broken) == ["no table glyph", "page.page: string, not int"]

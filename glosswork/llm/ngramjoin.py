@@ -20,9 +20,8 @@ Method
 4. Connected components over survivors and ties are blocks: every pair that can link
    lies in one block. The sets of a block are shipped to one task, or, for a block over
    ``TILE_CLASSES`` or ``TILE_SHINGLES``, in tiles of two parts each, and verified
-   exactly. Verification takes the full row of a class against all others only
-   while the class is outside the largest group found, since links inside a group
-   add nothing.
+   exactly: the full row of a class against all others, for every class that does not end
+   in the block's largest group, since links inside a group add nothing.
 
 Nothing is capped: long lists and large blocks take the other, exact way.
 
@@ -346,21 +345,28 @@ def groups_of(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
             inter = inter + np.rint(dense @ dense[i]).astype(np.int64)
         return inter
 
-    for i in np.argsort(-size, kind="stable"):
-        # Inside the largest group no link can add anything; its links to others are found from the others' rows.
+    order = np.argsort(-size, kind="stable")
+    while True:
+        # Two classes of one group need no row of their own: in the end all without one are in the largest group,
+        # and every other pair was met in a row. The largest group may change on the way, so the rest is looked over again.
         largest = int(np.argmax(amount))
-        if not todo[i] or (amount[largest] > 1 and root[i] == largest):
-            continue
-        todo[i] = False
-        inter = row(i)
-        linked = np.flatnonzero(den * inter >= num * (size[i] + size - inter))
-        joined = np.unique(root[np.append(linked, i)])
-        if len(joined) > 1:
-            to = joined[0]
-            moved = np.isin(root, joined)
-            root[moved] = to
-            amount[joined] = 0
-            amount[to] = moved.sum()
+        rest = order[todo[order] & (root[order] != largest)]
+        if not len(rest):
+            break
+        for i in rest:
+            if root[i] == largest:
+                continue
+            todo[i] = False
+            inter = row(i)
+            linked = np.flatnonzero(den * inter >= num * (size[i] + size - inter))
+            joined = np.unique(root[np.append(linked, i)])
+            if len(joined) > 1:
+                to = joined[0]
+                moved = np.isin(root, joined)
+                root[moved] = to
+                amount[joined] = 0
+                amount[to] = moved.sum()
+                largest = to if amount[to] > amount[largest] or largest in joined else largest
     return root
 
 

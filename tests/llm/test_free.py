@@ -123,6 +123,26 @@ def test_groups_of_equals_brute_force():
         assert [expect.index(e) for e in expect] == [root.tolist().index(e) for e in root]
 
 
+def test_chains_that_meet_late():
+    """Groups grow side by side and are joined by links between classes that either group could have left out."""
+    for seed in range(60):
+        r = np.random.default_rng(seed)
+        width, step = 60, 4
+        tokens_ = r.integers(0, 2**63, 4000, dtype=np.uint64)
+        starts = np.cumsum(r.choice([step, step, step, 9, 30], size=r.integers(5, 60)))
+        sets = [np.unique(tokens_[a : a + width + r.integers(0, 3)]) for a in starts]
+        r.shuffle(starts)
+        sets = [sets[i] for i in r.permutation(len(sets))]
+        root = ngramjoin.groups_of(sets, 85, 100)
+        expect = list(range(len(sets)))
+        for a, b in itertools.combinations(range(len(sets)), 2):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((expect[a], expect[b]))
+                expect = [x if e == y else e for e in expect]
+        assert [expect.index(e) for e in expect] == [root.tolist().index(e) for e in root]
+
+
 def test_longer_prefixes_where_shingles_are_frequent():
     rare, often = np.full(40, 2), np.full(40, 500)
     assert ngramjoin.choose_matches(rare, 40, 34)[0] < ngramjoin.choose_matches(often, 40, 34)[0]

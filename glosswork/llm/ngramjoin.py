@@ -47,8 +47,10 @@ from glosswork.llm.components import connected_components
 from glosswork.llm.store import Scratch, ship_package
 from glosswork.llm.tokens import mix, shingle_sets
 
-#: Counters of the sketch (a power of two) and of one of its stored pieces; counts stop at 65535.
+#: Counters of the sketch (a power of two) and of one of its stored pieces.
 SKETCH_WIDTH, SKETCH_PIECE = 1 << 22, 1 << 16
+#: A count is kept in two bytes as its logarithm, in steps of 0.07 %, rounded up; small counts are exact.
+STEPS_TO_DOUBLE = 1024
 #: Lists up to this length give pairs, longer ones ties.
 PAIR_LIST = 24
 #: Lists whose sketch count is above this are dealt over several tasks; they give ties in any case.
@@ -70,6 +72,14 @@ def least_overlap(size: int, num: int, den: int) -> int:
     return -(-num * size // den)
 
 
+def pack_counts(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.ceil(STEPS_TO_DOUBLE * np.log2(1.0 + counts) - 1e-6), 65535).astype(np.uint16)
+
+
+#: The count for each packed value, never below the one that was packed.
+UNPACKED = np.floor(np.exp2(np.arange(65536) / STEPS_TO_DOUBLE) - 1.0 + 1e-6).clip(0, 2.0**62).astype(np.int64)
+
+
 def _signed(a: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(a).view(np.int64))
 
@@ -107,7 +117,7 @@ def _classes(n: int):
             if k:
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int8)), batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
         if known:
-            full = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, SKETCH_PIECE)
+            full = counts.reshape(-1, SKETCH_PIECE)
             blobs = [zlib.compress(row.tobytes(), 1) for row in full]
             k = len(blobs)
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), *[pa.nulls(k, pa.int64())] * 4, pa.array(np.arange(k), pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
@@ -119,10 +129,10 @@ def _sum_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for piece, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = np.frombuffer(zlib.decompress(blob.as_py()), np.uint16).astype(np.uint32)
+            own = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.uint64)
             total[piece] = total[piece] + own if piece in total else own
     if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(v, 65535).astype(np.uint16).tobytes() for v in total.values()], pa.binary())], names=["piece", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([pack_counts(v).tobytes() for v in total.values()], pa.binary())], names=["piece", "counts"])
 
 
 def choose_matches(est: np.ndarray, size: int, overlap: int) -> tuple[int, int]:
@@ -155,7 +165,7 @@ def _postings(n: int, num: int, den: int, sketch):
                 if cls in known:
                     continue
                 known.add(cls)
-                est = counts[(own & _U(SKETCH_WIDTH - 1)).astype(np.int64)]
+                est = UNPACKED[counts[(own & _U(SKETCH_WIDTH - 1)).astype(np.int64)]]
                 overlap = least_overlap(size, num, den)
                 reach = min(size, size - overlap + MOST_MATCHES)
                 order = np.lexsort((own, est)) if reach >= size else _first(est, own, reach)
@@ -165,9 +175,9 @@ def _postings(n: int, num: int, den: int, sketch):
                 at = np.flatnonzero(est[:length] > 1)
                 if not len(at):
                     continue
-                split = np.maximum(1, -(-est[at].astype(np.int64) // SPLIT_LIST))
+                split = np.maximum(1, -(-est[at] // SPLIT_LIST))
                 toks.append(own[order[at]])
-                parts.append(np.where(split > 1, (cls & 0x7FFFFFFF) % split, -1).astype(np.int32))
+                parts.append(np.where(split > 1, (cls & 0x7FFFFFFF) % np.minimum(split, 1 << 20), -1).astype(np.int32))
                 clss.append(np.full(len(at), cls, np.int64))
                 infos.append((size << 34) | (at << 4) | m)
                 held += len(at)

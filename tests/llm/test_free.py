@@ -123,6 +123,13 @@ def test_groups_of_equals_brute_force():
         assert [expect.index(e) for e in expect] == [root.tolist().index(e) for e in root]
 
 
+def test_packed_counts_are_never_too_small():
+    counts = np.unique(np.concatenate([np.arange(5000), (1.37 ** np.arange(1, 125)).astype(np.uint64)])).astype(np.uint64)
+    back = ngramjoin.UNPACKED[ngramjoin.pack_counts(counts)]
+    assert (back[:300] == counts[:300].astype(np.int64)).all() and (back >= counts.astype(np.int64)).all()
+    assert (back <= counts.astype(float) * 1.002 + 1).all()
+
+
 def test_chains_that_meet_late():
     """Groups grow side by side and are joined by links between classes that either group could have left out."""
     for seed in range(60):

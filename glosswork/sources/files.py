@@ -6,6 +6,7 @@ Schemas are fixed and versioned: a record of another version stops the read.
 from __future__ import annotations
 
 import io
+import json
 import re
 import tomllib
 import uuid
@@ -52,6 +53,42 @@ def page_lines(pages: DataFrame, book: str = "book") -> tuple[DataFrame, DataFra
     return lines, unmapped
 
 
+def page_records(lines: DataFrame, unmapped: DataFrame, widths: DataFrame) -> DataFrame:
+    """Records of PAGES_SCHEMA from lines (page, line_no, column, y, segments), unmapped (page, font, code) and widths (page, width).
+
+    Pages without lines or codes have empty lists.
+    """
+    nested = lines.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "column", "y", "segments"))), lambda s: F.struct(s["column"].alias("column"), s["y"].alias("y"), s["segments"].alias("segments"))).alias("lines"))
+    codes = unmapped.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("font", "code"))).alias("unmapped"))
+    none = {"lines": "array<struct<column:string,y:double,segments:array<struct<style:string,text:string>>>>", "unmapped": "array<struct<font:string,code:int>>"}
+    out = widths.join(nested, "page", "left").join(codes, "page", "left")
+    return out.select(F.lit(PAGES_VERSION).alias("schema_version"), F.col("page").alias("pdf_page"), "width", *[F.coalesce(n, F.array().cast(t)).alias(n) for n, t in none.items()])
+
+
+def extraction_report(pages: DataFrame) -> DataFrame:
+    """(pages, empty_pages, lines, unmapped, unmapped_pages) of page records, one row."""
+    return pages.agg(F.count("*").alias("pages"), F.count_if(F.size("lines") == 0).alias("empty_pages"), F.sum(F.size("lines")).alias("lines"), F.sum(F.size("unmapped")).alias("unmapped"), F.count_if(F.size("unmapped") > 0).alias("unmapped_pages"))
+
+
+def write_report(gates: DataFrame, path: str, source: str, mark: dict) -> None:
+    """The gate report: version, source, fingerprint of the input, and one record a gate, as indented JSON."""
+    rows = [r.asDict() for r in gates.orderBy("gate").collect()]
+    body = json.dumps({"version": REPORT_VERSION, "source": source, "fingerprint": mark, "gates": rows}, ensure_ascii=False, indent=2)
+    p, fs = _hadoop(gates.sparkSession, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(body.encode()))
+    stream.close()
+
+
+def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """(gates, fingerprint) of a report; another version stops the read."""
+    report = json.loads(read_bytes(spark, path))
+    if report.get("version") != REPORT_VERSION:
+        raise ValueError(f"report version {report.get('version')}")
+    schema = "gate int, name string, measured long, allowed long, status string, note string"
+    return spark.createDataFrame([tuple(g[c.split()[0]] for c in schema.split(", ")) for g in report["gates"]], schema), report["fingerprint"]
+
+
 def entry_records(entries: DataFrame, subs: DataFrame) -> DataFrame:
     """Records of ENTRIES_SCHEMA in seq order within partitions; sub-entries nested in order."""
     fields = ["han_form", "han_expanded", "form", "form_expanded", "definition", "needs_review"]

@@ -88,6 +88,33 @@ def test_versions_stop_the_read(spark, tmp_path):
         files.read_pages(spark, str(tmp_path / "q.jsonl")).collect()
 
 
+def test_page_records_round_trip(spark, tmp_path):
+    segments = "array<struct<style:string,text:string>>"
+    lines = spark.createDataFrame([(1, 1, "left", 5.0, [("bold", "b")]), (1, 0, "left", 9.5, [("han", "a"), ("bold", "c")])], f"page int, line_no int, column string, y double, segments {segments}")
+    unmapped = spark.createDataFrame([(2, "F", 7)], "page int, font string, code int")
+    widths = spark.createDataFrame([(1, 10.5), (2, 11.0)], "page int, width double")
+    records = files.page_records(lines, unmapped, widths)
+    files.write_json(records, str(tmp_path / "pages"), ["pdf_page"])
+    back = files.read_pages(spark, str(tmp_path / "pages"))
+    again, codes = files.page_lines(back)
+    assert [(r.page, r.line_no, r.y, r.text) for r in again.orderBy("line_no").collect()] == [(1, 0, 9.5, "ac"), (1, 1, 5.0, "b")]
+    assert [(r.page, r.font, r.code) for r in codes.collect()] == [(2, "F", 7)]
+    assert tuple(files.extraction_report(back).head()) == (2, 1, 2, 1, 1)
+
+
+def test_reports(spark, tmp_path):
+    from glosswork.operators import gates
+
+    report = gates.gate_row(gates.one_row(spark, 1), 2, 1, "x").unionByName(gates.gate_row(gates.one_row(spark, 0), 1, 0))
+    mark = gates.fingerprint("a\n".encode())
+    files.write_report(report, str(tmp_path / "g.json"), "book", mark)
+    back, found = files.read_report(spark, str(tmp_path / "g.json"))
+    assert found == mark and [(r.gate, r.status, r.note) for r in back.orderBy("gate").collect()] == [(1, "green", ""), (2, "green", "x")]
+    (tmp_path / "h.json").write_text(json.dumps({"version": 9}))
+    with pytest.raises(ValueError, match="version 9"):
+        files.read_report(spark, str(tmp_path / "h.json"))
+
+
 def test_dossier_round_trip(spark, tmp_path):
     path = str(tmp_path / "d.toml")
     rows = spark.createDataFrame([(0, "k1", 'a "q" \\ \n', 5), (1, "k2", "b", 6)], "row_no int, key string, text string, page int")

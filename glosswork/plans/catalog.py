@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosswork.functions.domain import LETTER_NAMES
 from glosswork.operators import search as S
+from glosswork.store import Scratch
 
 SUMMARY = ["seq", "slug", "reading", "reading_norm", "glyph", "glyph_kind", "pos", "gloss", "page", "printed_page", "needs_review", "letter"]
 
@@ -123,23 +124,17 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def running_place(rows: DataFrame, order: str) -> DataFrame:
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(order)))
-
-
 def composite_closure(edges: DataFrame, roots: DataFrame, rounds: int = 64) -> DataFrame:
-    """(root, node) of all nodes reachable from ``roots`` (node) over ``edges`` (src, dst), roots included. Cycles are allowed."""
-    seen = roots.select(F.col("node").alias("root"), "node").distinct()
-    front = seen
-    for _ in range(rounds):
+    """(root, node) of all nodes reachable from ``roots`` (node) over ``edges`` (src, dst), roots included. Cycles are allowed.
+
+    Each round's new pairs are written to the shared folder, so plans stay short and a lost executor costs one round.
+    """
+    scratch = Scratch(edges.sparkSession, "closure")
+    seen = front = scratch.write(roots.select(F.col("node").alias("root"), "node").distinct(), "front0")
+    for k in range(1, rounds):
         step = front.join(edges, front["node"] == edges["src"]).select("root", F.col("dst").alias("node")).distinct()
-        front = step.join(seen, ["root", "node"], "left_anti")
-        front = front.checkpoint() if _has_checkpoint(front) else front.cache()
+        front = scratch.write(step.join(seen, ["root", "node"], "left_anti"), f"front{k}")
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front)
     raise RuntimeError(f"closure did not settle in {rounds} rounds")
-
-
-def _has_checkpoint(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext.getCheckpointDir() is not None

@@ -152,13 +152,13 @@ def encoded_urls(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.percent_encode(F.col("url")).alias("encoded"))
 
 
-@query(r"""WITH f AS (SELECT doc_id, lang, source, left(text, 200) AS form, regexp_replace(left(text, 200), '--|[―—–]', lang, 'g') AS expanded FROM documents)
-    SELECT doc_id, expanded, (len(string_split_regex(form, '--|[―—–]')) - 1)::INT AS substitutions,
+@query(r"""WITH f AS (SELECT doc_id, lang, source, text, regexp_replace(text, '--|[―—–]', lang, 'g') AS expanded FROM documents)
+    SELECT doc_id, md5(expanded) AS expanded, (len(string_split_regex(text, '--|[―—–]')) - 1)::INT AS substitutions,
     (length(expanded) - length(replace(expanded, '|', '')))::INT AS residual, replace(source, 's', lang) AS han FROM f""")
 def expand_forms(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    form = T.expand_reading(F.left("text", F.lit(200)), F.col("lang"))
-    return docs.select("doc_id", form["value"].alias("expanded"), form["substitutions"].alias("substitutions"), form["residual"].alias("residual"), F.replace("source", F.lit("s"), F.col("lang")).alias("han"))
+    form = T.expand_reading(F.col("text"), F.col("lang"))
+    return docs.select("doc_id", F.md5(form["value"]).alias("expanded"), form["substitutions"].alias("substitutions"), form["residual"].alias("residual"), T.expand_han(F.replace("source", F.lit("s"), F.lit("|")), F.col("lang")).alias("han"))
 
 
 # --- ordered sequences ------------------------------------------------------------
@@ -371,14 +371,20 @@ def set_operations(spark, sf_dir):
 
 
 @query("""
-    WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey % 97 AS src, l_partkey % 97 AS dst FROM lineitem WHERE l_linenumber = 1 AND l_orderkey < 4000),
-    c(root, node) AS (SELECT k, k FROM (VALUES (0), (5), (11)) t(k) UNION SELECT c.root, e.dst FROM c JOIN e ON c.node = e.src)
-    SELECT root::BIGINT AS root, node::BIGINT AS node FROM c
+    WITH RECURSIVE e AS (
+        SELECT 'c' || c_custkey AS src, 'n' || c_nationkey AS dst FROM customer UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier
+        UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'r' || r_regionkey, 'n' || r_regionkey FROM region),
+    c(root, node) AS (SELECT DISTINCT src, src FROM e WHERE src LIKE 'c%' OR src LIKE 's%' UNION SELECT c.root, e.dst FROM c JOIN e ON c.node = e.src)
+    SELECT root, node FROM c
 """)
 def component_closure(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_orderkey < 4000")
-    edges = li.select((F.col("l_suppkey") % 97).alias("src"), (F.col("l_partkey") % 97).alias("dst")).distinct()
-    return composite_closure(edges, spark.createDataFrame([(0,), (5,), (11,)], "node long"))
+    def edge(name, kind, src, to, dst):
+        return table(spark, sf_dir, name).select(F.concat(F.lit(kind), F.col(src).cast("string")).alias("src"), F.concat(F.lit(to), F.col(dst).cast("string")).alias("dst"))
+
+    # Regions lead back to nations, so there are cycles.
+    lower = edge("customer", "c", "c_custkey", "n", "c_nationkey").unionByName(edge("supplier", "s", "s_suppkey", "n", "s_nationkey"))
+    edges = lower.unionByName(edge("nation", "n", "n_nationkey", "r", "n_regionkey")).unionByName(edge("region", "r", "r_regionkey", "n", "r_regionkey"))
+    return composite_closure(edges, lower.select(F.col("src").alias("node")).distinct())
 
 
 # --- aggregates, gates, services -----------------------------------------------------

@@ -1,45 +1,6 @@
-"""Shared scratch storage for multi-step operators.
-
-Steps that must not be recomputed are written as Parquet below
-``spark.checkpoint.dir`` (a folder that driver and executors share) and read
-back, which cuts the lineage and survives the loss of any executor.
-"""
-
-from __future__ import annotations
-
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+"""Shared scratch storage and shipping of sources, as the library has them."""
 
 from glosswork.session import ship_package
+from glosswork.store import Scratch
 
 __all__ = ["Scratch", "ship_package"]
-
-#: Used only where the session names no shared folder, as in local tests.
-FALLBACK_DIR = "/tmp/glosswork-checkpoint"
-
-
-class Scratch:
-    """A private folder below the shared checkpoint folder."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-        self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the reader of what was written."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name, df)
-
-    def read(self, name: str, like: DataFrame) -> DataFrame:
-        return self.spark.read.schema(like.schema).parquet(self.path(name))
-
-    def drop(self, *names: str) -> None:
-        """Delete tables that no later step reads."""
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

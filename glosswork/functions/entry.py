@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from glosswork.functions.domain import GLYPH_CLASS, HAN_CLASS
-from glosswork.functions.text import fold, is_blank, rtrim, trim, visible_length
+from glosswork.functions.text import fold, is_blank, let, rtrim, trim, visible_length
 
 #: Labels at the end of a line: each follows white space or another label.
 LABEL_RUN = r"(?U)((?:(?:(?<=\s)|(?<=[cn]\.))(?:cn|c|n)\.\s*)+)\z"
@@ -28,7 +28,7 @@ def _labels(run: Column) -> Column:
 
 
 def _null_if_empty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def split_headword(line: Column) -> Column:
@@ -36,30 +36,43 @@ def split_headword(line: Column) -> Column:
 
     Labels stand at the end; a line that opens with a glyph may instead have its last label before further text.
     """
-    own = rtrim(line)
-    run = F.regexp_extract(own, LABEL_RUN, 1)
     opens = line.rlike(rf"(?U)^\s*[{GLYPH_CLASS}]")
-    inside = (run == "") & opens
-    middle = F.when(inside, F.regexp_extract(line, LABEL_INSIDE, 2)).otherwise(F.lit(""))
-    head = F.when(run != "", F.left(own, F.length(own) - F.length(run))).otherwise(F.regexp_extract(line, LABEL_INSIDE, 1))
+
+    def by_run(own: Column, run: Column) -> Column:
+        at_end = run != ""
+        middle = F.when(~at_end & opens, F.regexp_extract(line, LABEL_INSIDE, 2)).otherwise(F.lit(""))
+        head = F.when(at_end, F.left(own, F.length(own) - F.length(run))).when(opens, F.regexp_extract(line, LABEL_INSIDE, 1))
+        trailing = F.when(at_end, F.lit("")).otherwise(trim(F.regexp_extract(line, LABEL_INSIDE, 3)))
+        labels = F.when(at_end, _labels(run)).otherwise(F.array(middle))
+        good = at_end | ((middle != "") & (trailing != ""))
+        return F.when(good, let(head, lambda h: let(trailing, lambda t: _head_fields(h, labels, t))))
+
+    return let(rtrim(line), lambda own: let(F.regexp_extract(own, LABEL_RUN, 1), lambda run: by_run(own, run)))
+
+
+def _head_fields(head: Column, labels: Column, trailing: Column) -> Column:
+    """Glyph, marker, reading and alternate of what stands before the labels; null without a reading."""
+
+    def by_rest(glyph: Column, marker: Column, rest: Column) -> Column:
+        # The last opening parenthesis and the first closing one after it.
+        alternate = F.regexp_extract(rest, r"(?s)(\([^()]*\))[^(]*\z", 1)
+        reading = trim(F.when(alternate != "", F.regexp_extract(rest, r"(?s)^(.*)\([^()]*\)[^(]*\z", 1)).otherwise(rest))
+        fields = lambda r: F.struct(
+            _null_if_empty(glyph).alias("glyph"),
+            _null_if_empty(marker).alias("image_marker"),
+            r.alias("reading"),
+            _null_if_empty(alternate).alias("alternate"),
+            labels.alias("labels"),
+            _null_if_empty(trailing).alias("trailing"),
+        )
+        return let(reading, lambda r: F.when(r != "", fields(r)))
+
+    def after_glyph(glyph: Column, rest: Column) -> Column:
+        marker = F.regexp_extract(rest, r"(?U)^\s*(\*+)", 1)
+        return let(marker, lambda m: let(F.when(m != "", F.regexp_replace(rest, r"(?U)^\s*\*+", "")).otherwise(rest), lambda r: by_rest(glyph, m, r)))
+
     glyph = F.regexp_extract(head, rf"(?U)^\s*([{GLYPH_CLASS}])", 1)
-    rest = F.when(glyph != "", F.regexp_replace(head, rf"(?U)^\s*[{GLYPH_CLASS}]", "")).otherwise(head)
-    marker = F.regexp_extract(rest, r"(?U)^\s*(\*+)", 1)
-    rest = F.when(marker != "", F.regexp_replace(rest, r"(?U)^\s*\*+", "")).otherwise(rest)
-    # The last opening parenthesis and the first closing one after it.
-    alternate = F.regexp_extract(rest, r"(?s)(\([^()]*\))[^(]*\z", 1)
-    reading = trim(F.when(alternate != "", F.regexp_extract(rest, r"(?s)^(.*)\([^()]*\)[^(]*\z", 1)).otherwise(rest))
-    trailing = trim(F.regexp_extract(line, LABEL_INSIDE, 3))
-    good = ((run != "") | ((middle != "") & (trailing != ""))) & (reading != "") & ~is_blank(head)
-    fields = F.struct(
-        _null_if_empty(glyph).alias("glyph"),
-        _null_if_empty(marker).alias("image_marker"),
-        reading.alias("reading"),
-        _null_if_empty(alternate).alias("alternate"),
-        F.when(run != "", _labels(run)).otherwise(F.array(middle)).alias("labels"),
-        F.when(run == "", trailing).alias("trailing"),
-    )
-    return F.when(good, fields)
+    return let(glyph, lambda g: let(F.when(g != "", F.regexp_replace(head, rf"(?U)^\s*[{GLYPH_CLASS}]", "")).otherwise(head), lambda r: after_glyph(g, r)))
 
 
 def split_continued(line: Column) -> Column:
@@ -120,28 +133,37 @@ def split_sub_entry(segments: Column) -> Column:
     The form starts with the first italic content and ends with the last. Han characters, bars, commas and spaces at its
     head go back to the Han column if a bar is among them; a full stop right after it belongs to it if text follows.
     """
-    marks = F.transform(segments, is_italic_content)
+
+    def by_place(first: Column, last: Column) -> Column:
+        before = _joined(segments, F.lit(1), first - 1)
+        middle = _joined(segments, first, last - first + 1)
+        after = _joined(segments, last + 1, F.greatest(F.size(segments) - last, F.lit(0)))
+        return let(before, lambda b: let(middle, lambda m: let(after, lambda a: by_text(b, m, a))))
+
+    def by_text(before: Column, middle: Column, after: Column) -> Column:
+        lead = F.regexp_extract(middle, rf"(?U)^[|,\s{HAN_CLASS}]*", 0)
+        moved = let(lead, lambda x: F.when(x.contains("|") & (F.length(x) < F.length(middle)), x).otherwise(F.lit("")))
+        stop = F.regexp_extract(after, r"(?sU)^(\s*\.)(?=.*\S)", 1)
+        return let(moved, lambda m: let(stop, lambda s: fields(before, middle, after, m, s)))
+
+    def fields(before: Column, middle: Column, after: Column, moved: Column, stop: Column) -> Column:
+        han = trim(F.concat(before, moved))
+        form = trim(F.concat(F.substr(middle, F.length(moved) + 1), stop))
+        definition = trim(F.substr(after, F.length(stop) + 1))
+        start = F.length(before) + F.length(moved)
+        counted = F.aggregate(
+            segments,
+            F.struct(F.lit(0).alias("at"), F.lit(0).alias("n")),
+            lambda acc, s: F.struct((acc["at"] + F.length(s["text"])).alias("at"), (acc["n"] + (is_italic_content(s) & (acc["at"] + F.length(s["text"]) > start)).cast("int")).alias("n")),
+        )["n"]
+        made = lambda f: F.struct(_null_if_empty(han).alias("han_form"), f.alias("form"), _null_if_empty(definition).alias("definition"), counted.alias("italic_segments"))
+        return let(form, lambda f: F.when(f != "", made(f)))
+
     # Null without italic content, and then so is all that follows.
+    marks = F.transform(segments, is_italic_content)
     first = F.nullif(F.array_position(marks, F.lit(True)), F.lit(0)).cast("int")
     last = (F.size(segments) - F.nullif(F.array_position(F.reverse(marks), F.lit(True)), F.lit(0)) + 1).cast("int")
-    before = _joined(segments, F.lit(1), first - 1)
-    middle = _joined(segments, first, last - first + 1)
-    after = _joined(segments, last + 1, F.greatest(F.size(segments) - last, F.lit(0)))
-    lead = F.regexp_extract(middle, rf"(?U)^[|,\s{HAN_CLASS}]*", 0)
-    stranded = lead.contains("|") & (F.length(lead) < F.length(middle))
-    moved = F.when(stranded, lead).otherwise(F.lit(""))
-    stop = F.regexp_extract(after, r"(?sU)^(\s*\.)(?=.*\S)", 1)
-    han = trim(F.concat(before, moved))
-    form = trim(F.concat(F.substr(middle, F.length(moved) + 1), stop))
-    definition = trim(F.substr(after, F.length(stop) + 1))
-    start = F.length(before) + F.length(moved)
-    counted = F.aggregate(
-        segments,
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("n")),
-        lambda acc, s: F.struct((acc["at"] + F.length(s["text"])).alias("at"), (acc["n"] + (is_italic_content(s) & (acc["at"] + F.length(s["text"]) > start)).cast("int")).alias("n")),
-    )["n"]
-    good = has_italic(segments) & (form != "")
-    return F.when(good, F.struct(_null_if_empty(han).alias("han_form"), form.alias("form"), _null_if_empty(definition).alias("definition"), counted.alias("italic_segments")))
+    return let(first, lambda x: let(last, lambda y: F.when(x.isNotNull(), by_place(x, y))))
 
 
 def covered_length(*fields: Column) -> Column:

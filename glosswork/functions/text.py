@@ -6,6 +6,7 @@ Spark's ``trim`` strips only U+0020 and Java's ``\\s`` is ASCII, so patterns car
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -16,6 +17,11 @@ from pyspark.sql import functions as F
 SPACE = r"(?U)\s"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def trim(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
 

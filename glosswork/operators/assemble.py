@@ -14,7 +14,7 @@ from glosswork.functions.domain import glyph_kind, pos_names, printed_page
 from glosswork.functions.entry import HEADWORD_TYPE, repair_gloss, split_continued, split_headword, split_sub_entry
 from glosswork.functions.text import expand_han, expand_reading, join_ordered, trim
 from glosswork.operators.lines import is_content
-from glosswork.operators.ordered import carry_forward, running_sums
+from glosswork.operators.ordered import carry_forward, computed_once, running_sums
 
 
 def assemble(lines: DataFrame) -> DataFrame:
@@ -70,11 +70,12 @@ def sub_entries(lines: DataFrame, entries: DataFrame) -> DataFrame:
 
     (book, entry_no, sub_seq, han_form, han_expanded, form, form_expanded, definition, needs_review)
     """
-    firsts = lines.where("role = 'sub_entry' and block_no > 0").select("book", "entry_no", "block_no", split_sub_entry(F.col("segments")).alias("s")).where("s is not null")
+    firsts = computed_once(lines.where("role = 'sub_entry' and block_no > 0"), s=split_sub_entry(F.col("segments"))).select("book", "entry_no", "block_no", "s").where("s is not null")
     rest = lines.where("role = 'continuation' and block_no > 0").groupBy("book", "entry_no", "block_no").agg(F.array_sort(F.collect_list(F.struct("page", "line_no", trim(F.col("text")).alias("t")))).alias("_more"))
     rest = rest.withColumn("_more", F.transform("_more", lambda s: s["t"]))
     joined = firsts.join(rest, ["book", "entry_no", "block_no"], "left").join(entries.select("book", "entry_no", "glyph", "reading"), ["book", "entry_no"])
-    form = expand_reading(F.col("s.form"), F.col("reading"))
+    joined = computed_once(joined, _form=expand_reading(F.col("s.form"), F.col("reading")))
+    form = F.col("_form")
     own = joined.select(
         "book",
         "entry_no",
@@ -97,16 +98,16 @@ def entries_of(lines: DataFrame) -> DataFrame:
     Continued heads before any head have nothing to inherit and are left out.
     """
     heads = lines.where("role in ('headword', 'continued_headword')")
-    heads = heads.withColumns({"h": F.when(F.col("role") == "headword", split_headword(F.col("text"))).otherwise(F.lit(None).cast(HEADWORD_TYPE)), "c": F.when(F.col("role") == "continued_headword", split_continued(F.col("text")))})
+    heads = computed_once(heads, h=F.when(F.col("role") == "headword", split_headword(F.col("text"))).otherwise(F.lit(None).cast(HEADWORD_TYPE)), c=F.when(F.col("role") == "continued_headword", split_continued(F.col("text"))))
     heads = carry_forward(heads, "context", F.when(F.col("h").isNotNull(), F.struct(F.col("h.glyph").alias("glyph"), F.col("h.reading").alias("reading"))))
     glosses = lines.where("role = 'continuation' and block_no = 0 and entry_no > 0").groupBy("book", "entry_no").agg(F.array_sort(F.collect_list(F.struct("page", "line_no", trim(F.col("text")).alias("t")))).alias("_g"))
     glosses = glosses.withColumn("_g", F.transform("_g", lambda s: s["t"]))
     own = heads.where("context is not null").join(glosses, ["book", "entry_no"], "left")
     labels = F.coalesce("h.labels", "c.labels", F.array().cast("array<string>"))
     gloss = join_ordered(F.concat(F.array(F.coalesce("c.definition", F.lit(""))), F.coalesce("_g", F.array().cast("array<string>"))))
-    own = own.withColumns({"_labels": labels, "_gloss": gloss})
+    own = computed_once(own, _labels=labels, _gloss=gloss)
     fixed = F.when(F.col("h").isNotNull(), repair_gloss(F.col("_labels"), F.col("_gloss"))).otherwise(F.struct(F.col("_labels").alias("labels"), F.col("_gloss").alias("gloss")))
-    own = own.withColumn("_fixed", fixed)
+    own = computed_once(own, _fixed=fixed)
     return own.select(
         "book",
         "entry_no",

@@ -13,6 +13,7 @@ from glosswork.functions.domain import letter_of, letter_rank
 from glosswork.functions.entry import covered_length, has_stray_label, split_continued, split_headword, split_sub_entry
 from glosswork.functions.text import trim, visible_length
 from glosswork.operators.lines import is_content
+from glosswork.operators.ordered import computed_once
 
 # The gates that must be present, by number.
 GATES = {1: "unmapped glyphs", 2: "headword coverage", 3: "character conservation", 4: "index reconciliation", 5: "collation order", 7: "printed errata", 8: "scan verified"}
@@ -37,7 +38,7 @@ def unmapped_codes(unmapped: DataFrame) -> DataFrame:
 def line_fields(lines: DataFrame) -> DataFrame:
     """Content lines with ``visible`` and ``covered`` characters and, for heads, ``parsed`` and ``stray``."""
     text, role = F.col("text"), F.col("role")
-    own = lines.where(is_content(role)).withColumns({"h": F.when(role == "headword", split_headword(text)), "c": F.when(role == "continued_headword", split_continued(text)), "s": F.when(role == "sub_entry", split_sub_entry(F.col("segments")))})
+    own = computed_once(lines.where(is_content(role)), h=F.when(role == "headword", split_headword(text)), c=F.when(role == "continued_headword", split_continued(text)), s=F.when(role == "sub_entry", split_sub_entry(F.col("segments"))))
     labels = lambda x: F.array_join(F.coalesce(x, F.array().cast("array<string>")), "")
     h, c, s = F.col("h"), F.col("c"), F.col("s")
     covered = (

@@ -11,6 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def computed_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns that later expressions use many times.
+
+    A plain projection would be merged into its users and evaluated for each of them; behind a one-element explode it is evaluated once.
+    """
+    for name, column in columns.items():
+        rows = rows.select("*", F.explode(F.array(column)).alias(name))
+    return rows
+
+
 def running_sums(lines: DataFrame, sums: dict[str, Column], *, book: str = "book", page: str = "page", order: str = "line_no") -> DataFrame:
     """``lines`` with, for each name, the sum of its expression over all lines up to and including this one."""
     inside = Window.partitionBy(book, page).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -14,6 +14,7 @@ from glosswork.operators import gates as G
 from glosswork.operators.dossier import by_page_range, signed, unowned
 from glosswork.operators.lines import FOOT_Y, HEAD_Y, TOLERANCE, classify
 from glosswork.operators.search import search_document
+from glosswork.store import Scratch
 
 
 @dataclass
@@ -29,10 +30,13 @@ def parse_book(lines: DataFrame, readings: DataFrame) -> Parsed:
     """Lines (book, page, line_no, y, segments, text) to entries and sub-entries with ``seq`` in book order.
 
     ``readings``: (page, row_no, was, now, verified_by), applied after wrapped forms are joined.
+    Each stage is read by several later ones, so it is written to shared storage once.
     """
-    staged = A.assemble(classify(lines))
-    entries = A.entries_of(staged)
-    subs = A.sub_entries(staged, entries)
+    scratch = Scratch(lines.sparkSession, "parse")
+    classified = scratch.write(classify(lines), "classified")
+    staged = scratch.write(A.assemble(classified), "staged")
+    entries = scratch.write(A.entries_of(staged), "entries")
+    subs = scratch.write(A.sub_entries(staged, entries), "subs")
     entries, subs, found = A.apply_readings(entries, subs, readings)
     entries = entries.withColumn("seq", F.col("entry_no").cast("int"))
     return Parsed(staged, entries, subs.withColumn("seq", F.col("entry_no").cast("int")), found, G.line_fields(staged))

@@ -130,10 +130,12 @@ def form_parts(c: Column) -> Column:
 
 def expand_reading(form: Column, reading: Column) -> Column:
     """struct(value, substitutions, residual): reading marks replaced by the reading as it is."""
-    pieces = F.split(form, "--|[―—–]", -1)
-    value = F.array_join(pieces, "\x00")
-    value = F.replace(value, F.lit("\x00"), reading)
-    return F.struct(value.alias("value"), (F.size(pieces) - 1).alias("substitutions"), (F.length(value) - F.length(F.replace(value, F.lit("|"), F.lit("")))).alias("residual"))
+    def made(pieces: Column, value: Column) -> Column:
+        return F.struct(value.alias("value"), (F.size(pieces) - 1).alias("substitutions"), (F.length(value) - F.length(F.replace(value, F.lit("|"), F.lit("")))).alias("residual"))
+
+    # The reading is no replacement pattern: it may hold any character.
+    joined = lambda pieces: F.replace(F.array_join(pieces, "\x00"), F.lit("\x00"), reading)
+    return let(F.split(form, "--|[―—–]", -1), lambda pieces: let(joined(pieces), lambda value: made(pieces, value)))
 
 
 def expand_han(form: Column, glyph: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glosswork.functions.domain import HAN_NOM
-from glosswork.functions.text import fold, fold_text
+from glosswork.functions.text import fold, fold_text, let
 
 # Ranks of the tiers, modes, limits and the similarity threshold.
 TIERS = ("exact_reading", "exact_glyph", "prefix_reading", "unaccented_reading", "full_text", "fuzzy")
@@ -127,10 +127,15 @@ def query_trigrams(text: str) -> list[str]:
 
 def similarity(c: Column, text: str) -> Column:
     """Shared trigrams over all trigrams; 0 without any."""
-    own = trigrams(c)
-    query = F.array(*[F.lit(g) for g in query_trigrams(text)]) if query_trigrams(text) else F.array().cast("array<string>")
-    union = F.size(F.array_union(own, query))
-    return F.when(union > 0, F.size(F.array_intersect(own, query)) / union).otherwise(F.lit(0.0))
+    grams = query_trigrams(text)
+    if not grams:
+        return F.lit(0.0)
+    query = F.array(*[F.lit(g) for g in grams])
+
+    def score(own: Column, shared: Column) -> Column:
+        return shared / (F.size(own) + len(grams) - shared)
+
+    return let(trigrams(c), lambda own: let(F.size(F.array_intersect(own, query)), lambda shared: score(own, shared)))
 
 
 # --- tiers --------------------------------------------------------------------

@@ -15,8 +15,7 @@ from glosswork.functions.text import shape_note, trim, unicode_glyph, wiki_plain
 from glosswork.operators.ordered import islands
 from glosswork.session import ship_package
 
-# Template names, how far the walk looks ahead, how long a telling definition is, the kinds of findings.
-ENTRY_TEMPLATE, SUB_TEMPLATE = "DNQATV/mục", "DNQATV/nghĩa"
+# How far the walk looks ahead, how long a telling definition is, the kinds of findings.
 LOOKAHEAD, DISTINCTIVE = 12, 12
 CONTRADICTIONS = ("column_boundary", "glyph_differs")
 KINDS = (*CONTRADICTIONS, "glyph_unencodable_there", "shape_note_available", "entry_only_there", "entry_only_here", "flagged_here")
@@ -61,8 +60,8 @@ def template_calls(text: str, name: str) -> Iterator[tuple[int, list[str]]]:
         at = text.find(opening, max(i, at + len(opening)))
 
 
-def read_witness(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries and sub-entries of wiki pages (page_no, title, quality, wikitext).
+def read_witness(pages: DataFrame, entry_template: str, sub_template: str) -> tuple[DataFrame, DataFrame]:
+    """Entries and sub-entries of wiki pages (page_no, title, quality, wikitext), set with the two named templates.
 
     A sub-entry belongs to the nearest entry above it on its page; those above the first entry are dropped.
     entries: page_no, ordinal, glyph_field, reading, alternate, label, gloss, title, quality. subs: page_no, ordinal, sub_no, han, form, definition.
@@ -72,9 +71,9 @@ def read_witness(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     @F.udtf(returnType="at int, is_entry boolean, fields array<string>")
     class Templates:
         def eval(self, wikitext: str):
-            for at, fields in template_calls(wikitext or "", ENTRY_TEMPLATE):
+            for at, fields in template_calls(wikitext or "", entry_template):
                 yield at, True, fields
-            for at, fields in template_calls(wikitext or "", SUB_TEMPLATE):
+            for at, fields in template_calls(wikitext or "", sub_template):
                 yield at, False, fields
 
     calls = pages.lateralJoin(Templates(F.col("wikitext").outer()))

@@ -181,8 +181,8 @@ def test_template_calls():
 
 
 def test_read_witness(spark):
-    text = "{{DNQATV/nghĩa|a|b|c}}{{DNQATV/mục|阿|A||c.|x}}{{DNQATV/nghĩa|h|f|d}}{{DNQATV/mục||B}}"
-    entries, subs = witness.read_witness(spark.createDataFrame([(1, "p", 3, text), (2, "q", None, None)], "page_no int, title string, quality int, wikitext string"))
+    text = "{{Từ/nghĩa|a|b|c}}{{Từ/mục|阿|A||c.|x}}{{Từ/nghĩa|h|f|d}}{{Từ/mục||B}}"
+    entries, subs = witness.read_witness(spark.createDataFrame([(1, "p", 3, text), (2, "q", None, None)], "page_no int, title string, quality int, wikitext string"), "Từ/mục", "Từ/nghĩa")
     assert rows(entries.select("ordinal", "glyph_field", "reading", "label", "gloss"), "ordinal") == [(1, "阿", "A", "c.", "x"), (2, "", "B", "", "")]
     assert rows(subs.select("ordinal", "sub_no", "han", "form", "definition"), "ordinal") == [(1, 1, "h", "f", "d")]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from glosswork.functions import domain as D
 from glosswork.functions import text as T
-from glosswork.operators import dossier, gates, ordered, search
+from glosswork.operators import dossier, gates, ordered, search, witness
 from glosswork.operators.assemble import merge_wrapped
 from glosswork.operators.lines import ends_with_labels, sub_entry_signal
 from glosswork.plans.catalog import composite_closure, neighbours
@@ -47,6 +47,8 @@ FOLD = "lower(translate(strip_accents({0}), 'đĐ', 'dD'))"
 NAME_STEM = "regexp_replace(regexp_replace(" + FOLD.format("p_name") + ", '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')"
 TRIGRAMS = "list_distinct(flatten(list_transform(regexp_extract_all(" + FOLD.format("{0}") + ", '[\\p{{L}}\\p{{N}}]+'), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
 WORDS = "' ' || array_to_string(regexp_extract_all(" + FOLD.format("{0}") + ", '[\\p{{L}}\\p{{N}}]+'), ' ') || ' '"
+# The comparison key of two editions; the driver's texts hold no templates or links.
+WITNESS = "trim(regexp_replace(lower(translate(regexp_replace(regexp_replace(regexp_replace({0}, '<[^>]*(>|$)|>', '', 'g'), '''{{2,}}', '', 'g'), '[|―—–-]+', '@', 'g'), '.,;:!?()\"''«»', '            ')), '\\s+', ' ', 'g'))"
 
 
 def _similar(column: str, other: str) -> str:
@@ -348,6 +350,23 @@ def partner_unique(spark, sf_dir):
     return a.join(b, ["pair", "key"]).select("conv_a", "turn_a", "conv_b", "turn_b")
 
 
+@query(f"""
+    WITH t AS (SELECT conv_id % 20 AS pair, conv_id, turn, role, {WITNESS.format('text')} AS d, {WITNESS.format('split_part(text, chr(10), 1)')} AS f FROM conversations),
+    a AS (SELECT *, count(*) OVER (PARTITION BY pair, d) AS nd, count(*) OVER (PARTITION BY pair, f) AS nf FROM t WHERE role = 'user'),
+    b AS (SELECT *, count(*) OVER (PARTITION BY pair, d) AS nd, count(*) OVER (PARTITION BY pair, f) AS nf FROM t WHERE role <> 'user')
+    SELECT a.conv_id AS conv_a, a.turn AS turn_a, coalesce(x.conv_id, y.conv_id) AS conv_b, CASE WHEN x.conv_id IS NOT NULL THEN x.turn ELSE y.turn END AS turn_b
+    FROM a LEFT JOIN b x ON a.pair = x.pair AND a.d = x.d AND a.nd = 1 AND x.nd = 1 AND length(a.d) >= 12
+        LEFT JOIN b y ON a.pair = y.pair AND a.f = y.f AND a.nf = 1 AND y.nf = 1 WHERE x.conv_id IS NOT NULL OR y.conv_id IS NOT NULL
+""")
+def partner_whole(spark, sf_dir):
+    # A turn as a sub-entry: its whole text is the definition, its first line the form.
+    c = table(spark, sf_dir, "conversations")
+    rows = c.select((F.col("conv_id") % 20).alias("seq"), F.struct("conv_id", "turn").alias("at"), "role", F.col("text").alias("definition"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("form"))
+    pairs = rows.select(F.col("seq").alias("our_seq"), F.col("seq").alias("their_seq")).distinct()
+    out = witness.partners(pairs, rows.where("role = 'user'").withColumnRenamed("at", "sub_seq"), rows.where("role <> 'user'").withColumnRenamed("at", "sub_no"))
+    return out.select(F.col("sub_seq.conv_id").alias("conv_a"), F.col("sub_seq.turn").alias("turn_a"), F.col("sub_no.conv_id").alias("conv_b"), F.col("sub_no.turn").alias("turn_b"))
+
+
 @query("""
     SELECT c.c_custkey, n.n_name, r.r_name, count(o.o_orderkey)::BIGINT AS orders, list_sort(list(o.o_orderkey) FILTER (o.o_orderkey IS NOT NULL))[1] AS first_order
     FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY ALL

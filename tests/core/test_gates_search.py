@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glosswork.functions.text import fold, fold_text
 from glosswork.operators import dossier, gates, search, witness
+from glosswork.plans.queries import QUERIES
 
 
 def rows(df, *order):
@@ -268,6 +269,20 @@ def test_column_boundaries(spark):
     assert [x[0] for x in findings(spark, ours, theirs, leaked, [(0, 1, "女 - 男 婚", "Nữ - nam hôn", "Gái có chồng, trai có vợ")])] == ["column_boundary"]
 
 
+def test_partners_by_whole_texts(spark):
+    pairs = spark.createDataFrame([(1, 7), (2, 8)], "our_seq int, their_seq int")
+    ours = [(1, 1, "a", "Same start, then one end"), (1, 2, "b", "Same start, then another"), (1, 3, "c", "twice the same text"), (1, 4, "c", "twice the same text"), (1, 5, "― d.", "short"), (2, 1, "e", None)]
+    theirs = [(7, 1, "x", "same start; THEN one end."), (7, 2, "y", "Same start, then a third"), (7, 3, "z", "twice the same text"), (7, 4, "- D", "short"), (8, 1, "x", "Same start, then another")]
+    a, b = spark.createDataFrame(ours, "seq int, sub_seq int, form string, definition string"), spark.createDataFrame(theirs, "seq int, sub_no int, form string, definition string")
+    assert rows(witness.partners(pairs, a, b), "our_seq", "sub_seq") == [(1, 1, 1), (1, 5, 4)]
+
+
+def test_partner_query_compares_whole_texts(spark, tmp_path):
+    turns = [(0, 0, "user", "Same start\nthen one end"), (0, 1, "system", "Same start\nthen another"), (20, 0, "assistant", "same start\nthen one end."), (20, 1, "user", "Only\nby form"), (20, 2, "assistant", "only\nthe first line")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert rows(QUERIES["partner_whole"](spark, str(tmp_path)), "conv_a", "turn_a") == [(0, 0, 20, 0), (20, 1, 20, 2)]
+
+
 def test_postings(spark):
     df = spark.createDataFrame([(1, "b a B"), (2, ""), (3, None), (4, "á")], "k int, t string")
     assert rows(search.postings(df, "k", "t"), "k", "token") == [("a", 1, [1]), ("b", 1, [0, 2]), ("a", 4, [0])]

@@ -133,6 +133,14 @@ def column_split(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", column_of(F.col("l_quantity"), F.lit(20.0)).alias("side"), F.round("l_extendedprice", 2).alias("price"))
 
 
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 10 THEN 'left' ELSE 'right' END AS side, round(l_extendedprice, 2) AS price FROM lineitem")
+def column_whole(spark, sf_dir):
+    from glosswork.operators.layout import column_of
+
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.select("l_orderkey", "l_linenumber", column_of(F.col("l_quantity"), F.lit(20.0)).alias("side"), F.round("l_extendedprice", 2).alias("price"))
+
+
 @query("""WITH n AS (SELECT o_orderkey, 1 + (o_orderkey % 1038) AS page FROM orders)
     SELECT o_orderkey, page::INT AS page, (CASE WHEN page BETWEEN 3 AND 9 THEN page WHEN page >= 11 THEN page - 1 END)::INT AS printed,
       CASE WHEN page BETWEEN 3 AND 9 THEN page::VARCHAR WHEN page >= 11 THEN (page - 1)::VARCHAR ELSE 'pdf-' || page END AS address, page::INT AS back FROM n""")

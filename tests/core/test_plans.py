@@ -150,3 +150,10 @@ def test_stores_are_inspected(catalog):
     broken = tables | {"page": tables["page"].withColumn("page", F.col("page").cast("string"))}
     del broken["glyph"]
     assert inspect_store(broken) == ["no table glyph", "page.page: string, not int"]
+
+
+def test_every_line_item_has_a_column(spark, tmp_path):
+    items = [(1, 1, 9.5, 100.004, 0.0), (1, 2, 10.0, 200.0, 0.05), (2, 1, 3.0, 1.0, None)]
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = QUERIES["column_whole"](spark, str(tmp_path)).orderBy("l_orderkey", "l_linenumber")
+    assert [tuple(r) for r in got.collect()] == [(1, 1, "left", 100.0), (1, 2, "right", 200.0), (2, 1, "left", 1.0)]

@@ -18,6 +18,8 @@ Defined results
 * character references are decoded; white space inside a block becomes one space;
   ``<br>`` is white space; blocks are joined by two line feeds in page order;
 * unclosed, stray and unknown tags are accepted; repeated rows give equal texts;
+* a head without end tag ends at text or at a tag that cannot stand in it; self-closed foreign elements are empty;
+* text outside all blocks counts as the body's, which is implied if there is none;
 * ids, urls and extra columns are carried as they are.
 """
 
@@ -41,6 +43,8 @@ from glosswork.llm.store import ship_package
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template iframe svg math object canvas audio video select textarea button title head".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
+FOREIGN = frozenset("svg math".split())
+METADATA = frozenset("base basefont bgsound link meta title script style template noscript noframes head".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -51,6 +55,8 @@ NO_PARAGRAPH = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfo
 TOKEN = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|!--.*?(?:-->|\Z)|[!?/][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S)
 ATTRS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: A slash that ends an unquoted value does not close the element.
+UNQUOTED = re.compile(r"""=\s*[^\s"'=]+/\Z""")
 STOPS = re.compile(r"[.,;:!?]")
 
 
@@ -73,6 +79,8 @@ def parse(source: str) -> Page:
     node = at = 0
 
     def text(raw: str) -> None:
+        if stack[-1][0] == "head" and raw.strip():
+            pop()
         if skip or not raw:
             return
         if "&" in raw:
@@ -113,6 +121,11 @@ def parse(source: str) -> Page:
         if name is None:
             continue
         name = name.lower()
+        if stack[-1][0] == "head" and not (m[1] or m[4]):
+            if name == "head":
+                continue
+            if name not in METADATA:
+                pop()
         if m[1] or m[4]:
             if any(x == name for x, _ in stack):
                 while stack[-1][0] != name:
@@ -122,6 +135,9 @@ def parse(source: str) -> Page:
                 flush()
             continue
         page.tags[node] += 1
+        own = m[3] or m[6] or ""
+        if own.endswith("/") and (name in FOREIGN or any(x in FOREIGN for x, _ in stack)) and not UNQUOTED.search(own):
+            continue
         if name in VOID:
             if name == "br":
                 text(" ")
@@ -147,7 +163,6 @@ def parse(source: str) -> Page:
                     break
         if name in BLOCK:
             flush()
-            own = m[3] or m[6] or ""
             words = tuple(w.lower() for a in ATTRS.findall(own) for w in PIECES.findall(a[0] or a[1] or a[2])) if "=" in own else ()
             page.tag.append(name)
             page.attrs.append(words)
@@ -171,6 +186,25 @@ def parse(source: str) -> Page:
     return page
 
 
+def rooted(page: Page) -> Page:
+    """The page with the root's own blocks in its body, so that they are scored."""
+    if all(v for v, _ in page.blocks):
+        return page
+    to = next((page.tag.index(x) for x in ("body", "html") if x in page.tag), 0)
+    if not to:
+        to = 2
+        page.tag[1:1], page.attrs[1:1], page.depth[1:] = ["html", "body"], [(), ()], [1, 2, *(d + 2 for d in page.depth[1:])]
+        page.parent[1:] = [0, 1, *(u + 2 for u in page.parent[1:])]
+        for own in (page.text, page.link, page.tags):
+            own[1:1] = [0, 0]
+        page.blocks = [(v + 2 if v else 0, block) for v, block in page.blocks]
+    for own in (page.text, page.link, page.tags):
+        own[to] += own[0]
+        own[0] = 0
+    page.blocks = [(v or to, block) for v, block in page.blocks]
+    return page
+
+
 FEATURES = 22
 
 
@@ -467,14 +501,14 @@ def train(sources: list[str]) -> Boosted:
 
 
 def main_texts(sources: list[str | None], model: Boosted) -> list[str]:
-    pages = [parse(s or "") for s in sources]
+    pages = [rooted(parse(s or "")) for s in sources]
     rows = [features(p, model.odds) for p in pages]
     logits = model.logits(np.concatenate(rows)) if rows else np.zeros(0)
     out, at = [], 0
     for page, own in zip(pages, rows, strict=True):
         keep = decode(page, logits[at : at + len(own)].tolist())
         at += len(own)
-        out.append("\n\n".join(text for v, text in page.blocks if v and keep[v]))
+        out.append("\n\n".join(text for v, text in page.blocks if keep[v]))
     return out
 
 

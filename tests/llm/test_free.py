@@ -369,6 +369,25 @@ def test_parser():
     assert blocks("<table><tr><td>a<td>b<tr><td>c</table>") == [("td", "a"), ("td", "b"), ("td", "c")]
 
 
+def test_text_before_the_trees():
+    assert blocks("<html><head><title>x</title><meta name=a><body><article><p>a</article>") == [("p", "a")]
+    assert blocks("<head><title>x</title><p>a") == [("p", "a")] and blocks("<html><head><title>x</title>a<p>b") == [("html", "a"), ("p", "b")]
+    assert blocks("<head><script>x</script> <link><style>y</style></head><p>a") == [("p", "a")]
+    assert blocks('<p>a <svg viewBox="0 0 1 1"/>b <math/>c') == [("p", "a b c")]
+    assert blocks("<p>a <svg><title/><path d='x'/>no</svg>b</p>") == [("p", "a b")] and blocks("<p>a<svg width=1/>no</svg>b") == [("p", "ab")]
+
+
+def test_root_blocks_are_scored(model):
+    prose = "Some words of a text that stands here on its own, without a tag around it. It goes on for two sentences."
+    pages = [prose, f"<h1>Title</h1>{prose}", f"<html><body><article><p>{prose}</p></article></body></html>and more"]
+    got = htmltext.main_texts(pages, model)
+    assert got[0] == prose and prose in got[1] and got[2] == f"{prose}\n\nand more"
+    assert got[:2] == htmltext.main_texts([f"<html><body>{x}</body></html>" for x in pages[:2]], model)
+    page = htmltext.rooted(htmltext.parse("a<div>b<p>c</div>d"))
+    assert (page.tag, page.parent, page.depth, page.text, page.blocks) == (["#root", "html", "body", "div", "p"], [-1, 0, 1, 2, 3], [0, 1, 2, 3, 4], [0, 0, 2, 1, 1], [(2, "a"), (3, "b"), (4, "c"), (2, "d")])
+    assert htmltext.rooted(htmltext.parse("<html><body><p>b</body></html>a")).blocks == [(3, "b"), (2, "a")]
+
+
 PAGE = """<html><head><title>T</title></head><body><header><a href=/>Site</a></header><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>
 <div class="cookie-notice">We use cookies.</div><div class="ad">Buy now!</div><article><h1>Title &amp; more</h1><p>First  paragraph of the
 article, with some words.<p>Second <b>one</b>.</p><div class="advert">Buy this</div><p>Third paragraph here.</p></article>

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,21 @@ def test_blocks_reach_aliases(spark):
     assert judged(urls.judge_urls(page(spark, rows), redirects=moves))[7][3] == "block"
 
 
+def test_relative_references(spark):
+    bases = ["http://h.org", "http://h.org/", "http://h.org/a/b/c.html?q=1/2", "http://h.org/a/b/", "https://h.org?x=/y"]
+    refs = ["page2.html", "?id=7", "../x", "./y?u=http://z/..", "../../../up/./z/..", "/abs/../k", "//o.com/p", "http://p.net/q", "d/.", "..", "a:b", "sub/e?f#g"]
+    cases = spark.createDataFrame([(b, r, urljoin(b, r)) for b in bases for r in refs], "base string, ref string, want string")
+    got = cases.select("base", "ref", urls.resolved(F.col("base"), F.col("ref")).alias("got"), "want").collect()
+    assert [(r.base, r.ref, r.got) for r in got] == [(r.base, r.ref, r.want) for r in got]
+    rows = [
+        ("http://m.a.org/d/1", '<link rel=canonical href="page2.html">'),
+        ("http://m.a.org/d/page2.html", '<meta http-equiv=refresh content="0; url=../?id=7">'),
+        ("http://m.a.org/?id=7", '<link rel=canonical href="http://a.com/en/1">'),
+        ("http://m.a.org/1", None),
+    ]
+    assert [v for *_, v in judged(urls.judge_urls(page(spark, rows)))] == ["block", "block", "block", "allow"]
+
+
 # --- line dedup ---------------------------------------------------------------------
 
 

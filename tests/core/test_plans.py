@@ -1,5 +1,7 @@
 """A small book end to end, the catalogue, streams, and the driver's queries."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +159,17 @@ def test_every_line_item_has_a_column(spark, tmp_path):
     spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = QUERIES["column_whole"](spark, str(tmp_path)).orderBy("l_orderkey", "l_linenumber")
     assert [tuple(r) for r in got.collect()] == [(1, 1, "left", 100.0), (1, 2, "right", 200.0), (2, 1, "left", 1.0)]
+
+
+def test_every_wiki_page_has_a_row(spark, tmp_path):
+    pages = {1: "a {{x|y}} <b>b</b>", 2: "{{SIC|nad|and}} [[to|from]]", 3: "a > b", 4: "a <b", 5: "plain", 6: "{{x}}"}
+    spark.createDataFrame(list(pages.items()), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = {1: "a b", 2: "nad from", 3: "a b", 4: "a", 5: "plain", 6: ""}
+    got = {r.page_id: (r.blank, r.plain) for r in QUERIES["wiki_text"](spark, str(tmp_path)).collect()}
+    assert got == {k: (v == "", hashlib.md5(v.encode()).hexdigest()) for k, v in want.items()}
+
+
+def test_runs_of_several_labels_count(spark, tmp_path):
+    lines = ["a word of.", "a word of. the.", "a word. the. of. ", "an. of.", "a n. of.", "a c.n. the. cn.", "of.", " of.", "of. the. x", "a word n."]
+    spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r.doc_id for r in QUERIES["label_whole"](spark, str(tmp_path)).collect()) == [0, 1, 2, 4, 5, 7]

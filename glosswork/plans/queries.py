@@ -320,6 +320,14 @@ def range_contains(spark, sf_dir):
     return dossier.by_page_range(docs, items).select(F.col("seq").alias("doc_id"), F.col("row_no").alias("item_id"))
 
 
+@query("SELECT DISTINCT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
+def contains_whole(spark, sf_dir):
+    # Forty pages only deal the documents out: the reach spans them all from the items' page.
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(40)).alias("page"), "text")
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_no"), F.lit(20).cast("long").alias("page"), "text")
+    return dossier.by_page_range(docs, items, reach=20).select(F.col("seq").alias("doc_id"), F.col("row_no").alias("item_id"))
+
+
 @query("""
     SELECT n.n_nationkey, (count(s.s_suppkey) <> 1 OR coalesce(sum((s.s_acctbal > 5000)::INT), 0) <> 1) AS failed
     FROM nation n LEFT JOIN supplier s ON n.n_nationkey = s.s_nationkey AND contains(s.s_name, '1') GROUP BY n.n_nationkey

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from glosswork.operators import dossier
 from glosswork.operators.search import SUGGESTIONS
 from glosswork.plans import ingest
 from glosswork.plans.catalog import Catalog, composite_closure
@@ -173,3 +174,16 @@ def test_runs_of_several_labels_count(spark, tmp_path):
     lines = ["a word of.", "a word of. the.", "a word. the. of. ", "an. of.", "a n. of.", "a c.n. the. cn.", "of.", " of.", "of. the. x", "a word n."]
     spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(r.doc_id for r in QUERIES["label_whole"](spark, str(tmp_path)).collect()) == [0, 1, 2, 4, 5, 7]
+
+
+def test_every_containment_is_found(spark, tmp_path):
+    spark.createDataFrame([(i, f"x item {i % 3} y") for i in range(-2, 90)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "item 0"), (31, "item 2"), (3, "none")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, QUERIES["contains_whole"](spark, str(tmp_path)).collect()))
+    assert got == sorted((i, {0: 7, 2: 31}[i % 3]) for i in range(-2, 90) if i % 3 != 1)
+
+
+def test_page_range(spark):
+    entries = spark.createDataFrame([(1, 9, "a b"), (2, 10, "a b"), (3, 11, "a b"), (4, 12, "a b"), (5, 10, "b")], "seq int, page int, text string")
+    lines = spark.createDataFrame([(0, 10, "a")], "row_no int, page int, text string")
+    assert sorted(map(tuple, dossier.by_page_range(entries, lines).collect())) == [(1, 0), (2, 0), (3, 0)]

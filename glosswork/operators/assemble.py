@@ -16,6 +16,9 @@ from glosswork.functions.text import expand_han, expand_reading, join_ordered, t
 from glosswork.operators.lines import is_content
 from glosswork.operators.ordered import carry_forward, computed_once, running_sums
 
+# Fixed value: how many residual forms a report lists.
+RESIDUAL = 2000
+
 
 def assemble(lines: DataFrame) -> DataFrame:
     """Classified ``lines`` with ``entry_no`` (0: before the first head), ``block_no`` (0: head or gloss) and ``orphan``.
@@ -91,6 +94,14 @@ def sub_entries(lines: DataFrame, entries: DataFrame) -> DataFrame:
     return merged.withColumn("sub_seq", F.row_number().over(Window.partitionBy("book", "entry_no").orderBy("block_no"))).drop("block_no")
 
 
+def residual_forms(lines: DataFrame, entries: DataFrame, limit: int = RESIDUAL) -> DataFrame:
+    """(book, entry_no, block_no, page, form): the first ``limit`` forms that keep a mark after expansion, in book order."""
+    firsts = computed_once(lines.where("role = 'sub_entry' and block_no > 0"), s=split_sub_entry(F.col("segments"))).where("s is not null")
+    joined = firsts.select("book", "entry_no", "block_no", "page", F.col("s.form").alias("form")).join(entries.select("book", "entry_no", "reading"), ["book", "entry_no"])
+    kept = joined.where(expand_reading(F.col("form"), F.col("reading"))["residual"] > 0)
+    return kept.select("book", "entry_no", "block_no", "page", "form").orderBy("book", "entry_no", "block_no").limit(limit)
+
+
 def entries_of(lines: DataFrame) -> DataFrame:
     """One row for each entry of assembled ``lines``: head fields, inherited glyph and reading, repaired gloss.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glosswork.functions.domain import letter_of, letter_rank
+from glosswork.functions.domain import glyph_kind, letter_of, letter_rank
 from glosswork.functions.entry import covered_length, has_stray_label, split_continued, split_headword, split_sub_entry
 from glosswork.functions.text import trim, visible_length
 from glosswork.operators.lines import is_content
@@ -177,6 +177,13 @@ def roles_report(lines: DataFrame) -> DataFrame:
     return lines.groupBy("role").agg(F.count("*").alias("n")).withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2))
 
 
+def head_reports(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kind, n) of glyph kinds and (labels, n) of label patterns, over the headword lines that split."""
+    heads = computed_once(lines.where("role = 'headword'"), h=split_headword(F.col("text"))).where("h is not null")
+    kinds = heads.groupBy(glyph_kind(F.col("h.glyph")).alias("kind")).agg(F.count("*").alias("n"))
+    return kinds, heads.groupBy(F.array_join("h.labels", " ").alias("labels")).agg(F.count("*").alias("n"))
+
+
 def require_empty(faults: DataFrame, what: str) -> None:
     """Stop the load if any fault is left."""
     some = faults.limit(5).collect()

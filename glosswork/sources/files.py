@@ -5,6 +5,7 @@ Schemas are fixed and versioned: a record of another version stops the read.
 
 from __future__ import annotations
 
+import gzip
 import io
 import json
 import re
@@ -70,6 +71,17 @@ def extraction_report(pages: DataFrame) -> DataFrame:
     return pages.agg(F.count("*").alias("pages"), F.count_if(F.size("lines") == 0).alias("empty_pages"), F.sum(F.size("lines")).alias("lines"), F.sum(F.size("unmapped")).alias("unmapped"), F.count_if(F.size("unmapped") > 0).alias("unmapped_pages"))
 
 
+def size_report(spark: SparkSession, path: str) -> DataFrame:
+    """(part, files, bytes, gz_bytes, largest_gz) of the files below ``path``: by its folders and files, ``shard=`` folders as one, and in ``total``."""
+    packed = F.udf(lambda data: len(gzip.compress(data, 9)), "long")
+    root = _hadoop(spark, path)[0].toUri().getPath().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    part = F.regexp_extract(F.col("path"), r"(?s)^.*?" + re.escape(root) + r"/+([^/]*)", 1)
+    rows = files.select(F.when(part.startswith("shard="), "shards").otherwise(part).alias("part"), F.col("length").alias("b"), packed("content").alias("g"))
+    sums = [F.count("*").alias("files"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("g"), F.lit(0)).alias("gz_bytes"), F.max("g").alias("largest_gz")]
+    return rows.groupBy("part").agg(*sums).unionByName(rows.agg(F.lit("total").alias("part"), *sums))
+
+
 def write_report(gates: DataFrame, path: str, source: str, mark: dict) -> None:
     """The gate report: version, source, fingerprint of the input, and one record a gate, as indented JSON."""
     rows = [r.asDict() for r in gates.orderBy("gate").collect()]

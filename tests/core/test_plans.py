@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from glosswork.operators import dossier
+from glosswork.operators import assemble, dossier, gates
 from glosswork.operators.search import SUGGESTIONS
 from glosswork.plans import ingest
 from glosswork.plans.catalog import Catalog, composite_closure
@@ -187,3 +187,18 @@ def test_page_range(spark):
     entries = spark.createDataFrame([(1, 9, "a b"), (2, 10, "a b"), (3, 11, "a b"), (4, 12, "a b"), (5, 10, "b")], "seq int, page int, text string")
     lines = spark.createDataFrame([(0, 10, "a")], "row_no int, page int, text string")
     assert sorted(map(tuple, dossier.by_page_range(entries, lines).collect())) == [(1, 0), (2, 0), (3, 0)]
+
+
+def test_head_reports(spark, parsed):
+    kinds, labels = gates.head_reports(parsed.lines)
+    assert {r.kind: r.n for r in kinds.collect()} == {"bmp": 2} and {r.labels: r.n for r in labels.collect()} == {"c.": 1, "c. n.": 1}
+
+
+def test_residual_forms(spark):
+    segments = lambda form: [("italic", form), ("regular", ". Nghĩa.")]
+    forms = ["― a", "b | c", "d", "e | ―", "f |"]
+    lines = spark.createDataFrame([("b", 1 + i // 3, 1 + i % 3, 11 + i, "sub_entry", segments(x)) for i, x in enumerate(forms)], "book string, entry_no long, block_no long, page int, role string, segments array<struct<style:string,text:string>>")
+    entries = spark.createDataFrame([("b", 1, "A"), ("b", 2, "B")], "book string, entry_no long, reading string")
+    every = [(r.entry_no, r.block_no, r.page) for r in assemble.residual_forms(lines, entries).collect()]
+    assert every == [(1, 2, 12), (2, 1, 14), (2, 2, 15)]
+    assert [(r.entry_no, r.block_no, r.page) for r in assemble.residual_forms(lines, entries, 2).collect()] == every[:2]

@@ -169,3 +169,21 @@ def test_settings():
         with pytest.raises(settings.SettingsError):
             settings.load(text, {})
     assert io.StringIO("").read() == ""
+
+
+def test_size_report(spark, tmp_path):
+    import gzip
+
+    data = {"index.json": b"a" * 5000, "shard=0/part-0.json": b"b" * 300, "shard=1/part-0.json": bytes(range(256)), "extra/x.json": b"c"}
+    for name, body in data.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    packed = {n: len(gzip.compress(b, 9)) for n, b in data.items()}
+    shards = [packed[n] for n in data if n.startswith("shard=")]
+    got = {r.part: tuple(r)[1:] for r in files.size_report(spark, str(tmp_path)).collect()}
+    assert got == {
+        "index.json": (1, 5000, packed["index.json"], packed["index.json"]),
+        "shards": (2, 556, sum(shards), max(shards)),
+        "extra": (1, 1, packed["extra/x.json"], packed["extra/x.json"]),
+        "total": (4, 5557, sum(packed.values()), max(packed.values())),
+    }

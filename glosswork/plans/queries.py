@@ -360,6 +360,36 @@ def run_pairing(spark, sf_dir):
     return equal.unionByName(rest_a.join(rest_b, ["run", "n"], "full_outer").select("run", "ka", "kb"))
 
 
+@query("""
+    WITH RECURSIVE oa AS (SELECT s_suppkey AS k, s_nationkey AS key, CASE WHEN s_acctbal > 5000 THEN 'A' ELSE 'B' END AS glyph, row_number() OVER (ORDER BY s_suppkey) AS p FROM supplier),
+    ob AS (SELECT c_custkey AS k, c_nationkey AS key, substr(c_mktsegment, 1, 1) AS glyph, row_number() OVER (ORDER BY c_custkey) AS p FROM customer),
+    na AS (SELECT *, (key IS DISTINCT FROM lag(key) OVER (ORDER BY p))::INT AS new FROM oa), nb AS (SELECT *, (key IS DISTINCT FROM lag(key) OVER (ORDER BY p))::INT AS new FROM ob),
+    ra AS (SELECT *, sum(new) OVER (ORDER BY p) AS run FROM na), rb AS (SELECT *, sum(new) OVER (ORDER BY p) AS run FROM nb),
+    ea AS (SELECT *, max(p) OVER (PARTITION BY run) + 1 AS past FROM ra), eb AS (SELECT *, max(p) OVER (PARTITION BY run) + 1 AS past FROM rb),
+    l AS (SELECT (SELECT list(key ORDER BY p) FROM ea) AS a, (SELECT list(past ORDER BY p) FROM ea) AS pa, (SELECT list(key ORDER BY p) FROM eb) AS b, (SELECT list(past ORDER BY p) FROM eb) AS pb),
+    w(i, j) AS (
+        SELECT 1::BIGINT, 1::BIGINT UNION ALL
+        SELECT CASE WHEN same THEN pi WHEN db IS NOT NULL AND db <= coalesce(da, 99) THEN i WHEN da IS NOT NULL THEN i + da ELSE i + 1 END::BIGINT,
+               CASE WHEN same THEN pj WHEN db IS NOT NULL AND db <= coalesce(da, 99) THEN j + db WHEN da IS NOT NULL THEN j ELSE j + 1 END::BIGINT
+        FROM (SELECT i, j, a[i] = b[j] AS same, pa[i] AS pi, pb[j] AS pj, nullif(list_position(b[j+1:j+12], a[i]), 0) AS db, nullif(list_position(a[i+1:i+12], b[j]), 0) AS da
+            FROM w, l WHERE i <= len(a) AND j <= len(b))),
+    m AS (SELECT ea.run AS x, eb.run AS y FROM w JOIN ea ON ea.p = w.i JOIN eb ON eb.p = w.j WHERE ea.key = eb.key),
+    ga AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN ea ON run = x), gb AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN eb ON run = y),
+    e AS (SELECT ga.k AS ka, gb.k AS kb FROM ga JOIN gb USING (x, glyph, n)),
+    la AS (SELECT x, k, row_number() OVER (PARTITION BY x ORDER BY k) AS n FROM ga WHERE k NOT IN (SELECT ka FROM e)), lb AS (SELECT x, k, row_number() OVER (PARTITION BY x ORDER BY k) AS n FROM gb WHERE k NOT IN (SELECT kb FROM e)),
+    pairs AS (SELECT ka, kb FROM e UNION ALL SELECT la.k, lb.k FROM la JOIN lb USING (x, n))
+    SELECT ka, kb FROM pairs UNION ALL SELECT k, NULL FROM oa WHERE k NOT IN (SELECT ka FROM pairs) UNION ALL SELECT NULL, k FROM ob WHERE k NOT IN (SELECT kb FROM pairs)
+""")
+def edition_alignment(spark, sf_dir):
+    # Two ordered lists of nations: those of the suppliers and those of the customers.
+    ours = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("seq"), F.col("s_nationkey").cast("string").alias("reading"), F.when(F.col("s_acctbal") > 5000, "A").otherwise("B").alias("glyph"))
+    theirs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("seq"), F.col("c_nationkey").cast("string").alias("reading"), F.left("c_mktsegment", F.lit(1)).alias("glyph_field"))
+    pairs, left, right = witness.align(ours, theirs)
+    none = F.lit(None).cast("long")
+    out = pairs.select(F.col("our_seq").alias("ka"), F.col("their_seq").alias("kb"))
+    return out.unionByName(left.select(F.col("seq").alias("ka"), none.alias("kb"))).unionByName(right.select(none.alias("ka"), F.col("seq").alias("kb")))
+
+
 @query("""
     WITH a AS (SELECT conv_id, turn, lower(text) AS d FROM conversations WHERE role = 'user'), b AS (SELECT conv_id, turn, lower(text) AS d FROM conversations WHERE role <> 'user'),
     ua AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY conv_id % 20, substr(d, 1, 5)) AS n FROM a) WHERE n = 1 AND length(d) >= 12),

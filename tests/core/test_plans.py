@@ -202,3 +202,11 @@ def test_residual_forms(spark):
     every = [(r.entry_no, r.block_no, r.page) for r in assemble.residual_forms(lines, entries).collect()]
     assert every == [(1, 2, 12), (2, 1, 14), (2, 2, 15)]
     assert [(r.entry_no, r.block_no, r.page) for r in assemble.residual_forms(lines, entries, 2).collect()] == every[:2]
+
+
+def test_alignment_query_looks_ahead(spark, tmp_path):
+    suppliers, customers = [1, 2, 9, 3, 4], [1, 7, 7, 2, 3, 4, 4]
+    spark.createDataFrame([(i, n, 0.0) for i, n in enumerate(suppliers)], "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(i, n, "X") for i, n in enumerate(customers)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = QUERIES["edition_alignment"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(0, 0), (1, 3), (3, 4), (4, 5), (2, None), (None, 1), (None, 2), (None, 6)], key=repr)

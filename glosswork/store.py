@@ -7,26 +7,39 @@ back, which cuts the lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in local tests.
-FALLBACK_DIR = "/tmp/glosswork-checkpoint"
+#: Used only by a local session that names no shared folder, as in tests.
+LOCAL_DIR = "/tmp/glosswork-checkpoint"
+#: Rows in one file of a table whose size is known.
+FILE_ROWS = 250_000
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a local session, whose executors are the driver, may do without."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (base or LOCAL_DIR).rstrip("/")
+
 
 class Scratch:
     """A private folder below the shared checkpoint folder."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-        self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the reader of what was written."""
+    def write(self, df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
+        """Write ``df`` once and return the reader of what was written. A known bound of its rows keeps the files few."""
+        if most_rows is not None:
+            df = df.coalesce(max(1, -(-most_rows // FILE_ROWS)))
         df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df)
 
@@ -38,3 +51,11 @@ class Scratch:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def keep(self, *starts: str) -> None:
+        """Delete all tables but those whose names start so, once nothing reads the others."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for found in files.listStatus(root) if files.exists(root) else []:
+            if not found.getPath().getName().startswith(starts):
+                files.delete(found.getPath(), True)

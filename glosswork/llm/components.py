@@ -29,19 +29,26 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("_m").alias("b"))).distinct()
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc", rows: int | None = None) -> DataFrame:
     """(node, component) of every node that occurs in ``edges`` (a long, b long); component is the smallest node reached.
 
     Loops, repeated links and nulls are allowed and link nothing. Without links the result is empty.
+    ``rows``: the number of ``edges``, if they are stored, distinct and free of loops and nulls; they are then read as they lie.
     """
-    nodes = None
-    now = scratch.write(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), f"{name}0")
-    before, last = None, f"{name}0"
+    last = None
+    if rows is None:
+        last = f"{name}0"
+        edges = scratch.write(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), last)
+        rows = edges.count()
+    now, before = edges, None
     for k in range(1, MAX_ROUNDS):
-        now = scratch.write(_small(_large(now)), f"{name}{k}")
-        scratch.drop(last)
+        # A round turns a link into two at most.
+        now = scratch.write(_small(_large(now)), f"{name}{k}", 2 * rows)
+        if last:
+            scratch.drop(last)
         last = f"{name}{k}"
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        rows = state.n
         if state == before:
             break
         before = state

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in runs of about so many bytes, which bounds the temporaries.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 
 _U = np.uint64
 _M = 0x9E3779B97F4A7C15

@@ -93,7 +93,7 @@ def corpus(seed, size, groups, edits):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "n", "num", "limits"), [(0, 4, 85, {}), (1, 5, 80, {}), (2, 4, 85, {"PAIR_LIST": 3, "TILE_CLASSES": 7, "SPLIT_LIST": 5}), (3, 2, 50, {"PAIR_LIST": 2, "TILE_CLASSES": 4, "SPLIT_LIST": 3}), (4, 3, 95, {"PAIR_LIST": 5, "TILE_SHINGLES": 300})])
+@pytest.mark.parametrize(("seed", "n", "num", "limits"), [(0, 4, 85, {}), (1, 5, 80, {}), (2, 4, 85, {"PAIR_LIST": 3, "TILE_CLASSES": 7, "SPLIT_LIST": 5}), (3, 2, 50, {"PAIR_LIST": 2, "TILE_CLASSES": 4, "SPLIT_LIST": 3}), (4, 3, 95, {"PAIR_LIST": 5, "TILE_SHINGLES": 300}), (5, 4, 85, {"PAIR_LIST": 2, "TILE_CLASSES": 3, "LEADERS": 1, "REST_CLASSES": 2, "SPLIT_LIST": 4}), (6, 3, 60, {"PAIR_LIST": 2, "TILE_CLASSES": 2, "LEADERS": 1, "REST_SHINGLES": 100})])
 def test_ngram_join_equals_brute_force(spark, monkeypatch, seed, n, num, limits):
     for name, value in limits.items():
         monkeypatch.setattr(ngramjoin, name, value)

@@ -64,9 +64,9 @@ MOST_MATCHES = 8
 #: Verifying a candidate costs about so many postings.
 VERIFY_COST = 12.0
 #: A part of a large block holds about so many classes and shingles; so many leaders go with each.
-TILE_CLASSES, TILE_SHINGLES, LEADERS = 192, 1_000_000, 24
+TILE_CLASSES, TILE_SHINGLES, LEADERS = 64, 1_000_000, 16
 #: Classes and shingles on either side of a tile of those that no leader reached.
-REST_CLASSES, REST_SHINGLES = 512, 1_000_000
+REST_CLASSES, REST_SHINGLES = 128, 1_000_000
 #: Bits of one piece of the filter for classes that occur in blocks, of the largest filter (16 MB), and bits for each class.
 MEMBER_PIECE, MOST_BITS, CLASS_BITS = 1 << 18, 1 << 27, 16
 #: Classes that share 64 bits of their hash: none are expected below 10**9 classes.
@@ -537,15 +537,16 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = scratch.write(members.select(F.col("node").alias("cls"), F.col("component").alias("block"), "n", F.coalesce("hits", F.lit(0)).alias("hits")), "members", 2 * most)
     n_members = members.count()
 
-    wanted = min(MOST_BITS, max(MEMBER_PIECE, 1 << (CLASS_BITS * n_members).bit_length()))
-    packed = members.select("cls").mapInArrow(_member_bits(wanted), "piece int, bits binary").repartition("piece").mapInArrow(_or_bits, "piece int, bits binary")
-    bits = np.zeros(wanted // 8, np.uint8)
-    for r in packed.toLocalIterator():
-        bits[r.piece * MEMBER_PIECE // 8 : (r.piece + 1) * MEMBER_PIECE // 8] = np.frombuffer(r.bits, np.uint8)
-    filtered = spark.sparkContext.broadcast(bits)
+    def shipped_sets(classes: DataFrame, n: int) -> DataFrame:
+        """The sets of ``classes`` and of a few others that the filter of hashes lets through."""
+        size = min(MOST_BITS, max(MEMBER_PIECE, 1 << (CLASS_BITS * n).bit_length()))
+        packed = classes.select("cls").mapInArrow(_member_bits(size), "piece int, bits binary").repartition("piece").mapInArrow(_or_bits, "piece int, bits binary")
+        bits = np.zeros(size // 8, np.uint8)
+        for r in packed.toLocalIterator():
+            bits[r.piece * MEMBER_PIECE // 8 : (r.piece + 1) * MEMBER_PIECE // 8] = np.frombuffer(r.bits, np.uint8)
+        return texts.select("text").mapInArrow(_sets(words, spark.sparkContext.broadcast(bits), renamed), "cls long, grams binary").dropDuplicates(["cls"])
 
-    def verified(tiles: DataFrame, name: str) -> DataFrame:
-        sets = texts.select("text").mapInArrow(_sets(words, filtered, renamed), "cls long, grams binary").dropDuplicates(["cls"])
+    def verified(tiles: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         shipped = tiles.join(sets, "cls").select("block", "x", "y", "cls", "asked", "label", "grams").repartition("block", "x", "y").sortWithinPartitions("block", "x", "y")
         return scratch.write(shipped.mapInArrow(_verify(num, den), "block long, cls long, root long"), name)
 
@@ -562,7 +563,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     leaders = leaders.select(F.col("l.cls").alias("cls"), "block", F.col("l.x").alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("x")).where("x <> home")
     tiles = own.select("cls", "block", "x").unionByName(leaders.select("cls", "block", "x"))
     none = {"y": F.lit(-1), "asked": F.lit(True), "label": F.col("cls")}
-    checked = verified(tiles.withColumns(none), "checked")
+    checked = verified(tiles.withColumns(none), shipped_sets(members, n_members), "checked")
     links = checked.select(F.col("cls").alias("a"), F.col("root").alias("b"))
     joined = connected_components(links, scratch, "joined")
 
@@ -574,11 +575,12 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     per = per.where("top.k < k").select("block", F.col("top.label").alias("top"), "k", "total", (F.col("k") - F.col("top.k")).alias("rest_k"), (F.col("total") - F.col("top_total.total")).alias("rest_total"))
     per = per.select("block", "top", pieces_of("k", "total", REST_CLASSES, REST_SHINGLES).alias("ys"), pieces_of("rest_k", "rest_total", REST_CLASSES, REST_SHINGLES).alias("xs"))
     rest = large.join(per, "block").withColumns({"asked": F.col("label") != F.col("top"), "my_x": part("xs", 3), "my_y": part("ys", 4)})
-    if not rest.isEmpty():
+    n_rest = rest.count()
+    if n_rest:
         asking = rest.where("asked").select("cls", "block", "label", "asked", F.col("my_x").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ys") - 1)).alias("y"))
         others = rest.select("cls", "block", "label", "asked", "my_x", F.col("my_y").alias("y"), F.explode(F.sequence(F.lit(0), F.col("xs") - 1)).alias("x"))
         others = others.where("not (asked and x = my_x)").withColumn("asked", F.lit(False)).select(*asking.columns)
-        more = verified(asking.unionByName(others), "rest")
+        more = verified(asking.unionByName(others), shipped_sets(rest, n_rest), "rest")
         links = links.unionByName(more.select(F.col("cls").alias("a"), F.col("root").alias("b")))
         # The roots of a tile stand for groups known before.
         links = links.unionByName(large.select(F.col("cls").alias("a"), F.col("label").alias("b")))

@@ -1,19 +1,20 @@
 """Exact nearest neighbours by a block matrix join with int8 tiles.
 
-Queries and candidates are cut into blocks; every pair of blocks is one tile.
-Vectors are scaled to length 1 and rounded to int8 with a scale of their own.
-The tile's product of int8 codes (summed exactly: integers below 2**24 in float32
-matrix products over at most ``CHUNK_DIMS`` dimensions) gives each cosine up to a
-bound from the two rounding residuals. A pair survives if its upper bound reaches the k-th
-best lower bound of its query in the tile; survivors are recomputed in double precision
-from the original vectors and pushed on the query's heap. The heaps of a query's
-tiles are merged at the end.
+Vectors are scaled to length 1 and rounded once to int8 with a scale of their own. Queries and
+candidates are cut into blocks; every pair of blocks is one tile, which gets codes, scales and
+rounding residuals, an eighth of the vectors' size. The tile's product of int8 codes (summed exactly:
+integers below 2**24 in float32 matrix products over at most ``CHUNK_DIMS`` dimensions) gives each
+cosine up to a bound from the two residuals. A pair survives if its upper bound reaches the k-th
+best lower bound of its query, first in the tile, then over all tiles. Survivors meet their original
+vectors, are recomputed in double precision, and pass through a heap for each query.
 
 Defined results
-* null vectors, vectors of length 0, of another dimension than the most frequent one,
-  or with null or non-finite components take no part;
+* null vectors, vectors of length 0, of another dimension than the most frequent one (the smaller of
+  equally frequent ones), or with null or non-finite components take no part;
 * null ids take no part; a row is never its own neighbour: candidates that carry the query's
   id are left out;
+* rows that repeat a query's id share one list, in which a candidate row has the larger of its scores;
+  candidate rows that repeat an id, or are equal, are candidates each;
 * ties go to the smaller id; fewer than k candidates give fewer rows; no rows give no rows;
 * only the id and vector columns are read.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glosswork.llm.store import ship_package
@@ -66,31 +67,39 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """(query, candidate, cosine) of at least the k best candidates of each query in this tile."""
-    qc, qs, qr = quantise(q)
-    cc, cs, cr = quantise(c)
+Side = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def tile(queries: Side, candidates: Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of pairs (query, candidate) that can be among a query's k nearest in this tile, with the bounds of their cosines.
+
+    A side is (ids, row hashes, codes, scales, residuals).
+    """
+    qid, _, qc, qs, qr = queries
+    cid, _, cc, cs, cr = candidates
     near = _product(qc, cc) * qs[:, None] * cs[None, :]
     # x.y - x'.y' = x.(y - y') + (x - x').y', with |x| = 1 and |y'| <= 1 + its residual
     error = cr[None, :] + qr[:, None] * (1.0 + cr[None, :]) + SLACK
     low = near - error
-    same = qid[:, None] == cid[None, :]
-    low[same] = -np.inf
-    if low.shape[1] > k:
-        least = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
-    else:
-        least = np.full(len(q), -np.inf)
-    i, j = np.nonzero((near + error >= least[:, None]) & ~same)
-    heaps: dict[int, list[tuple[float, int]]] = {}
-    for a in range(0, len(i), 1 << 16):
-        score = cosines(q[i[a : a + (1 << 16)]], c[j[a : a + (1 << 16)]])
-        for row, cand, s in zip(i[a : a + (1 << 16)].tolist(), cid[j[a : a + (1 << 16)]].tolist(), score.tolist(), strict=True):
-            heap = heaps.setdefault(row, [])
-            if len(heap) < k:
-                heapq.heappush(heap, (s, -cand))
-            elif (s, -cand) > heap[0]:
-                heapq.heapreplace(heap, (s, -cand))
-    return [(int(qid[row]), -cand, s) for row, heap in heaps.items() for s, cand in heap]
+    low[qid[:, None] == cid[None, :]] = -np.inf
+    least = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k] if low.shape[1] > k else np.full(len(low), -np.inf)
+    i, j = np.nonzero((near + error >= least[:, None]) & (low > -np.inf))
+    return i, j, low[i, j], (near + error)[i, j]
+
+
+def _codes(dims: int):
+    """(id, v) to (id, row, code, scale, residual)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                code, scale, residual = quantise(batch.column(3).flatten().to_numpy().reshape(-1, dims).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale), pa.array(residual)], names=["id", "row", "asked", "code", "scale", "residual"])
+
+    return run
+
+
+PAIRS = "query_id long, query_row long, vec_id long, vec_row long, low double, high double"
 
 
 def _tiles(k: int, dims: int):
@@ -100,31 +109,101 @@ def _tiles(k: int, dims: int):
         key, parts = None, ([], [])
 
         def close():
-            sides = [(np.concatenate([x[0] for x in p]), np.concatenate([x[1] for x in p])) if p else None for p in parts]
-            if all(sides):
-                (qid, q), (cid, c) = sides
-                for a in range(0, len(qid), 512):
-                    out = tile(qid[a : a + 512], q[a : a + 512], cid, c, k)
-                    if out:
-                        x, y, s = zip(*out, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
+            if all(parts):
+                sides = [tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts]
+                # Equal rows lie in one block, so each comes once.
+                q, c = (tuple(x[np.unique(side[1], return_index=True)[1]] for x in side) for side in sides)
+                for a in range(0, len(q[0]), 512):
+                    some = tuple(x[a : a + 512] for x in q)
+                    i, j, low, high = tile(some, c, k)
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some[0][i], some[1][i], c[0][j], c[1][j], low, high)], names=["query_id", "query_row", "vec_id", "vec_row", "low", "high"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            qb, cb, side, ids = (batch.column(i).to_numpy() for i in range(4))
-            vectors = batch.column(4).flatten().to_numpy().reshape(-1, dims)
+            qb, cb, side, ids, rows = (batch.column(i).to_numpy() for i in range(5))
+            codes = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int8).reshape(-1, dims)
+            scale, residual = batch.column(6).to_numpy(), batch.column(7).to_numpy()
             cut = np.flatnonzero((qb[1:] != qb[:-1]) | (cb[1:] != cb[:-1]) | (side[1:] != side[:-1])) + 1
             for a, b in zip([0, *cut], [*cut, len(qb)], strict=True):
                 if key != (qb[a], cb[a]):
                     yield from close()
                     key, parts = (qb[a], cb[a]), ([], [])
-                parts[side[a]].append((ids[a:b].copy(), vectors[a:b].astype(np.float64)))
+                parts[side[a]].append(tuple(x[a:b].copy() for x in (ids, rows, codes, scale, residual)))
         yield from close()
 
     return run
 
 
+def _prune(k: int):
+    """Pairs sorted by (query_id, low descending): those that reach the k-th best lower bound of their query over all tiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query, best, least = None, set(), -np.inf
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for n, (q, row, low, high) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 5)), strict=True)):
+                if q != query:
+                    query, best, least = q, set(), -np.inf
+                if len(best) < k:
+                    best.add(row)
+                    least = low if len(best) == k else least
+                keep[n] = high >= least
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _scored(dims: int):
+    """(query_id, vec_id, vec_row, times, query vector, candidate vector) with the cosine instead of the vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                q, c = (batch.column(i).flatten().to_numpy().reshape(-1, dims).astype(np.float64) for i in (4, 5))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(cosines(q, c))], names=["query_id", "vec_id", "vec_row", "times", "score"])
+
+    return run
+
+
+def _heaps(k: int):
+    """Scored pairs sorted by (query_id, vec_row, score descending) to the k best of each query, one heap at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query, last, heap = None, None, []
+        out: list[tuple[int, int, int, float]] = []
+
+        def close():
+            ranked = [(-c, s) for s, c, times in sorted(heap, reverse=True) for _ in range(min(k, times))][:k]
+            out.extend((query, rank, c, s) for rank, (c, s) in enumerate(ranked, 1))
+
+        def flush():
+            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "rank", "vec_id", "score"])
+            out.clear()
+            return made
+
+        for batch in batches:
+            for q, c, row, times, s in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if q != query:
+                    close()
+                    query, last, heap = q, None, []
+                if (c, row) == last:  # the same candidate by another row of the query's id, no nearer
+                    continue
+                last = (c, row)
+                if len(heap) < k:
+                    heapq.heappush(heap, (s, -c, times))
+                elif (s, -c, times) > heap[0]:
+                    heapq.heapreplace(heap, (s, -c, times))
+            if len(out) > 10_000:
+                yield flush()
+        close()
+        if out:
+            yield flush()
+
+    return run
+
+
 def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of each row for which ``queries`` holds, by cosine."""
     spark = vectors.sparkSession
@@ -137,12 +216,19 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     schema = "query_id long, rank int, vec_id long, score double"
     if shape is None or not shape.q:
         return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == shape.d)
+    # Equal rows give equal pairs, so a row is known by its id and a hash of its vector.
+    rows = rows.where(F.size("v") == shape.d).withColumn("row", F.xxhash64("id", "v"))
     qn, cn = -(-shape.q // query_block), -(-shape.n // candidate_block)
-    block = F.xxhash64("id", "v")
-    q = rows.where("asked").select(F.pmod(block, F.lit(qn)).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(cn - 1))).alias("cb"), F.lit(0).alias("side"), "id", "v")
-    c = rows.select(F.explode(F.sequence(F.lit(0), F.lit(qn - 1))).alias("qb"), F.pmod(block, F.lit(cn)).cast("int").alias("cb"), F.lit(1).alias("side"), "id", "v")
-    tiles = q.unionByName(c.select(*q.columns)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side")
-    found = tiles.mapInArrow(_tiles(k, shape.d), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    coded = rows.select("id", "row", "asked", "v").mapInArrow(_codes(shape.d), "id long, row long, asked boolean, code binary, scale double, residual double")
+    columns = ["qb", "cb", "side", "id", "row", "code", "scale", "residual"]
+    q = coded.where("asked").withColumns({"side": F.lit(0), "qb": F.pmod("row", F.lit(qn)).cast("int")}).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cn - 1))))
+    c = coded.withColumns({"side": F.lit(1), "cb": F.pmod("row", F.lit(cn)).cast("int")}).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))))
+    tiles = q.select(*columns).unionByName(c.select(*columns)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side")
+    pairs = tiles.mapInArrow(_tiles(k, shape.d), PAIRS)
+    pairs = pairs.repartition("query_id").sortWithinPartitions("query_id", F.desc("low")).mapInArrow(_prune(k), PAIRS)
+    whole = rows.groupBy("id", "row").agg(F.first("v").alias("v"), F.count("*").alias("times"))
+    theirs = whole.select(F.col("id").alias("vec_id"), F.col("row").alias("vec_row"), "times", F.col("v").alias("cv"))
+    mine = whole.select(F.col("id").alias("query_id"), F.col("row").alias("query_row"), F.col("v").alias("qv"))
+    both = pairs.join(theirs, ["vec_id", "vec_row"]).join(mine, ["query_id", "query_row"]).select("query_id", "vec_id", "vec_row", "times", "qv", "cv")
+    scored = both.mapInArrow(_scored(shape.d), "query_id long, vec_id long, vec_row long, times long, score double")
+    return scored.repartition("query_id").sortWithinPartitions("query_id", "vec_id", "vec_row", F.desc("score")).mapInArrow(_heaps(k), schema)

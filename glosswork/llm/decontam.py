@@ -121,38 +121,61 @@ def myers_best(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
         mv = ph & xv
         if score < best:
             best, end = score, j + 1
+            if not best:
+                break
     return best, end
 
 
-def _matches(items: Items, h: np.ndarray, word_of: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
-    """(text of the run, item) -> (distance, end word) of all matches in one run."""
-    tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], tuple[int, int]] = {}
+def _windows(items: Items, h: np.ndarray, word_of: np.ndarray) -> dict[tuple[int, int], list[list[int]]]:
+    """(text of the run, item) -> stretches of the text around the item's piece hits; hits in one stretch extend it."""
+    out: dict[tuple[int, int], list[list[int]]] = {}
     for probe, (keys, item_of, starts, ends) in items.probes.items():
         grams = windows(h, probe)
         near = np.flatnonzero(items.marks[probe][(grams & np.uint64((1 << MARK_BITS) - 1)).astype(np.int64)])
         own = grams[near]
         low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         hit = high > low
-        for at, lo, hi in zip(near[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-            text = int(np.searchsorted(word_of, at, "right")) - 1
+        text_of = np.searchsorted(word_of, near[hit], "right") - 1
+        for at, text, lo, hi in zip(near[hit].tolist(), text_of.tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
             first, last = int(word_of[text]), int(word_of[text + 1])
             for k in range(lo, hi):
                 i, a, b = int(item_of[k]), int(starts[k]), int(ends[k])
-                pattern, budget = items.words[i], items.budget[i]
-                if at + b - a > last or not np.array_equal(h[at : at + b - a], pattern[a:b]):
+                if at + b - a > last:
+                    continue
+                left = max(first, at - a - items.budget[i])
+                right = min(last, at - a + len(items.words[i]) + items.budget[i])
+                held = out.get((text, i))
+                if held and held[-1][0] <= left and right <= held[-1][1]:
                     continue
-                left = max(first, at - a - budget)
-                right = min(last, at - a + len(pattern) + budget)
-                spans = tried.setdefault((text, i), [])
-                if any(x <= left and right <= y for x, y in spans):
+                if b - a > probe and not np.array_equal(h[at : at + b - a], items.words[i][a:b]):
                     continue
-                spans.append((left, right))
-                distance, end = myers_best(pattern, h[left:right])
-                if distance <= budget:
-                    found = (distance, left + end - first)
-                    if (text, i) not in best or found < best[text, i]:
-                        best[text, i] = found
+                if held and held[-1][0] <= left <= held[-1][1]:
+                    held[-1][1] = max(right, held[-1][1])
+                elif held:
+                    held.append([left, right])
+                else:
+                    out[text, i] = [[left, right]]
+    return out
+
+
+def _matches(items: Items, h: np.ndarray, word_of: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+    """(text of the run, item) -> (distance, end word) of all matches in one run.
+
+    Stretches that overlap are one, so each word of a text meets an item's distance once, however often its pieces occur.
+    """
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for (text, i), held in _windows(items, h, word_of).items():
+        held.sort()
+        merged = held[:1]
+        for left, right in held[1:]:
+            if left <= merged[-1][1]:
+                merged[-1][1] = max(right, merged[-1][1])
+            else:
+                merged.append([left, right])
+        first = int(word_of[text])
+        found = [(distance, left + end - first) for left, right in merged for distance, end in [myers_best(items.words[i], h[left:right])]]
+        if min(found)[0] <= items.budget[i]:
+            best[text, i] = min(found)
     return best
 
 

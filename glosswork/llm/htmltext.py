@@ -14,7 +14,7 @@ and comments in many shapes. No row of the input is learned from.
 
 Defined results
 * null or empty html, and html without kept text: the empty string;
-* script, style and the like never give text, nor do comments;
+* script, style, template, svg drawings, form controls and frames never give text, nor do comments; what other elements hold, formulas and fallbacks too, is scored like any text;
 * character references are decoded; white space inside a block becomes one space;
   ``<br>`` is white space; blocks are joined by two line feeds in page order;
 * unclosed, stray and unknown tags are accepted; repeated rows give equal texts;
@@ -41,8 +41,8 @@ from glosswork.llm.store import ship_package
 
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe svg math object canvas audio video select textarea button title head".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+SKIPPED = frozenset("script style template iframe svg select textarea button title head".split())
+RAW = frozenset("script style textarea title iframe template".split())
 FOREIGN = frozenset("svg math".split())
 METADATA = frozenset("base basefont bgsound link meta title script style template noscript noframes head".split())
 BLOCK = frozenset(
@@ -74,6 +74,9 @@ class Page:
 def parse(source: str) -> Page:
     page = Page()
     stack: list[tuple[str, int]] = [("#root", 0)]
+    #: How often each name is open, and the places of blocks in the stack: no test walks the whole stack.
+    open_: dict[str, int] = {}
+    blocks: list[int] = []
     held: list[str] = []
     skip = links = 0
     node = at = 0
@@ -101,8 +104,10 @@ def parse(source: str) -> Page:
     def pop() -> None:
         nonlocal skip, links, node
         name, where = stack.pop()
+        open_[name] -= 1
         if where >= 0 and name != "#root":
             flush()
+            blocks.pop()
             node = page.parent[where]
         if name in SKIPPED:
             skip -= 1
@@ -127,7 +132,7 @@ def parse(source: str) -> Page:
             if name not in METADATA:
                 pop()
         if m[1] or m[4]:
-            if any(x == name for x, _ in stack):
+            if open_.get(name):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -136,7 +141,7 @@ def parse(source: str) -> Page:
             continue
         page.tags[node] += 1
         own = m[3] or m[6] or ""
-        if own.endswith("/") and (name in FOREIGN or any(x in FOREIGN for x, _ in stack)) and not UNQUOTED.search(own):
+        if own.endswith("/") and (name in FOREIGN or any(open_.get(x) for x in FOREIGN)) and not UNQUOTED.search(own):
             continue
         if name in VOID:
             if name == "br":
@@ -146,21 +151,18 @@ def parse(source: str) -> Page:
             continue
         rule = CLOSES.get(name)
         if rule:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in rule[1]:
-                    break
-                if stack[k][0] in rule[0]:
-                    while len(stack) > k:
-                        pop()
-                    break
-        elif name in NO_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k][0] in BLOCK:
-                    break
+            if any(open_.get(x) for x in rule[0]):
+                for k in reversed(blocks):
+                    if stack[k][0] in rule[1]:
+                        break
+                    if stack[k][0] in rule[0]:
+                        while len(stack) > k:
+                            pop()
+                        break
+        elif name in NO_PARAGRAPH and blocks and stack[blocks[-1]][0] == "p":
+            k = blocks[-1]
+            while len(stack) > k:
+                pop()
         if name in BLOCK:
             flush()
             words = tuple(w.lower() for a in ATTRS.findall(own) for w in PIECES.findall(a[0] or a[1] or a[2])) if "=" in own else ()
@@ -172,9 +174,11 @@ def parse(source: str) -> Page:
             page.link.append(0)
             page.tags.append(0)
             node = len(page.tag) - 1
+            blocks.append(len(stack))
             stack.append((name, node))
         else:
             stack.append((name, -1))
+        open_[name] = open_.get(name, 0) + 1
         if name in SKIPPED:
             skip += 1
         if name == "a":

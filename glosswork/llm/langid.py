@@ -185,7 +185,7 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     labelled = rows.where(~held_out() & F.col("label").isNotNull() & F.col("doc_id").isNotNull() & lettered).select("doc_id", "label").distinct()
     chosen = sample_ids(labelled, "label", sample_rows)
     # The sample is bounded by its parameter, so its ids may be broadcast and its n-grams collected.
-    sample = rows.where(~held_out()).join(F.broadcast(chosen), ["doc_id", "label"]).select("doc_id", "label", "text").dropDuplicates(["doc_id", "label"])
+    sample = rows.where(~held_out()).join(F.broadcast(chosen), ["doc_id", "label"]).groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     found = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").select("label", "text").mapInArrow(_gram_lists, "label string, " + ", ".join(f"g{n} binary" for n in range(1, GRAMS + 1))).collect()
     if not found:
         return rows.select("doc_id", held_out().alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))

@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     chosen = sample_ids(marked, "toxic", sample_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     # At most sample_rows ids are broadcast, and their words collected.
-    sample = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").select("toxic", "text")
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("toxic", "text"), F.xxhash64("text")).alias("_s")).orderBy("doc_id").select("_s.toxic", "_s.text")
     found = sample.mapInArrow(_bags, "toxic int, words binary, sents binary").toLocalIterator()
     bags = [(r.toxic, np.frombuffer(r.words, np.int32), np.frombuffer(r.sents, np.int32)) for r in found]
     if len({b[0] for b in bags}) < 2:

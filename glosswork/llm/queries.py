@@ -13,6 +13,7 @@ from glosswork.llm.linededup import dedup_lines
 from glosswork.llm.mixing import mix_plan
 from glosswork.llm.ngramjoin import ngram_components
 from glosswork.llm.secrets import BASE_RULES, find_secrets, span_list
+from glosswork.llm.secrets import RULES as RULES_OF_SECRETS
 from glosswork.llm.toxicity import fit, score_toxicity
 from glosswork.llm.urls import RULES, judge_urls
 
@@ -116,11 +117,50 @@ ORACLES = {
         SELECT doc_id, size, total AS source_size, target, (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken FROM rated
     """,
 }
+# Aliases by plain tags: one canonical link or refresh in double quotes with an absolute target or a path from the root.
 ORACLES["op3_url_filter"] = rf"""
-    WITH parts AS (
-        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), {_UPPER}) AS host,
-               regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages)
-    SELECT page_id, host, path, CASE {_RULE_CASES['rule']} END AS rule, CASE {_RULE_CASES['verdict']} ELSE 'allow' END AS verdict FROM parts
+    WITH RECURSIVE parts AS (
+        SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), {_UPPER}) AS host,
+               regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path,
+               regexp_extract(coalesce(url, ''), '^.*?://', 0, 's') AS scheme, regexp_extract(coalesce(url, ''), '[?][^#]*', 0, 's') AS query FROM pages),
+    ruled AS (SELECT *, CASE {_RULE_CASES['rule']} END AS rule, CASE {_RULE_CASES['verdict']} END AS own,
+        CASE WHEN scheme <> '' THEN scheme || host || path || query END AS addr FROM parts),
+    targets AS (
+        SELECT scheme, host, addr, unnest(list_concat(regexp_extract_all(html, '<link rel="canonical" href="([^"]*)"', 1), regexp_extract_all(html, '<meta http-equiv="refresh" content="[0-9]+; url=([^"]*)"', 1))) AS t FROM ruled WHERE addr IS NOT NULL),
+    absolute AS (SELECT addr, CASE WHEN starts_with(t, '/') THEN scheme || host || t ELSE t END AS t FROM targets),
+    edges AS (SELECT addr AS a, split_part(t, '#', 1) AS b FROM absolute WHERE contains(t, '://')),
+    sides AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+    ends AS (SELECT DISTINCT a, translate(regexp_extract(a, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), {_UPPER}) AS host, regexp_extract(a, '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM sides),
+    judged AS (SELECT a, CASE {_RULE_CASES['verdict']} END AS v FROM ends),
+    reach(x, y) AS (SELECT a, a FROM ends UNION SELECT r.x, e.b FROM reach r JOIN sides e ON r.y = e.a),
+    alike AS (SELECT x, bool_or(coalesce(v = 'allow', false)) AS allowed, bool_or(coalesce(v = 'block', false)) AS blocked FROM reach JOIN judged ON y = a GROUP BY x)
+    SELECT page_id, host, path, rule, coalesce(own, CASE WHEN blocked AND NOT allowed THEN 'block' ELSE 'allow' END) AS verdict FROM ruled LEFT JOIN alike ON addr = x
+"""
+
+
+def _sql_text(pattern: str) -> str:
+    return pattern.replace("'", "''").replace(r"\x20", " ")
+
+
+_SPANS = " UNION ALL ".join(
+    f"SELECT doc_id, rn, {rank} AS rank, '{r.kind}' AS kind, {'true' if r in BASE_RULES else 'false'} AS base, {r.least} AS least, string_split_regex(text, '{_sql_text(r.pattern)}') AS gaps, "
+    f"regexp_extract_all(text, '{_sql_text(r.pattern)}', 0) AS whole, regexp_extract_all(text, '{_sql_text(r.pattern)}', {r.group}) AS part FROM t"
+    for rank, r in enumerate(RULES_OF_SECRETS)
+)
+_LIST = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank){where}, '')"
+ORACLES["op10_secret_scan"] = rf"""
+    WITH t AS (SELECT doc_id, row_number() OVER () AS rn, coalesce(text, '') AS text FROM documents),
+    found AS ({_SPANS}),
+    each AS (SELECT rn, rank, kind, base, least, unnest(range(1, len(whole) + 1)) AS i, gaps, whole, part FROM found),
+    placed AS (
+        SELECT rn, rank, kind, base, least, i, length(whole[i]) AS size, length(part[i]) AS own,
+               sum(length(gaps[i]) + length(whole[i])) OVER (PARTITION BY rn, rank ORDER BY i)::BIGINT AS e FROM each),
+    kept AS (SELECT rn, rank, kind, base, e - size AS s, e FROM placed WHERE own >= least),
+    per AS (
+        SELECT rn, {', '.join(f"count(*) FILTER (kind = '{r.kind}')::BIGINT AS n_{r.kind}" for r in BASE_RULES)},
+               {_LIST.format(where=' FILTER (base)')} AS base, {_LIST.format(where='')} AS spans FROM kept GROUP BY rn)
+    SELECT doc_id, {', '.join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE_RULES)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM t LEFT JOIN per USING (rn)
 """
 
 ORACLES["op1_ngram_join"] = rf"""
@@ -142,10 +182,10 @@ ORACLES["op4_nearest_vectors"] = """
     WITH v AS (
         SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-    n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+    n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l, row_number() OVER () AS rn FROM v),
     p AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.l * c.l) AS score
-        FROM n q JOIN n c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+        SELECT q.vec_id AS query_id, c.vec_id, c.rn, max(list_dot_product(q.e, c.e) / (q.l * c.l)) AS score
+        FROM n q JOIN n c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL)
     SELECT query_id, rank::INT AS rank, vec_id, score
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
 """

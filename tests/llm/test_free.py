@@ -274,6 +274,19 @@ def test_few_vectors(spark):
     assert ann.nearest(two, F.col("vec_id") == 9).count() == 0
 
 
+def test_queries_of_one_id_share_a_list(spark):
+    """Two rows of id 0 have one list of five; a candidate counts once, with its larger score; equal candidates count each."""
+    r = np.random.default_rng(7)
+    rows = [(0, r.normal(size=4).tolist()), (0, r.normal(size=4).tolist()), *((i, r.normal(size=4).tolist()) for i in range(1, 9))]
+    rows += [rows[3], rows[3]]
+    df = spark.createDataFrame([(*x, 1) for x in rows], VEC)
+    rows = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
+    best = sorted((-max(float(ann.cosines(q[None], c[None])[0]) for j, q in rows if j == 0), i) for i, c in rows if i)
+    for blocks in ((100, 100), (1, 2)):
+        got = ann.nearest(df, F.col("vec_id") == 0, k=5, query_block=blocks[0], candidate_block=blocks[1]).orderBy("rank").collect()
+        assert [(x.rank, x.vec_id, x.score) for x in got] == [(n + 1, i, -s) for n, (s, i) in enumerate(best[:5])]
+
+
 # --- decontamination -----------------------------------------------------------------------
 
 
@@ -490,3 +503,52 @@ def test_labels_of_one_kind(spark):
     assert model is None and max(r.score for r in toxicity.score_toxicity(df, model).collect()) < 1e-9
     assert toxicity.fit(df, lab.where("false")) is None and toxicity.drop_toxic(df, None).count() == 2
     assert toxicity.score_toxicity(df.where("false"), None).count() == 0
+
+
+def test_repeated_words_are_linear():
+    """Each word of a text meets an item's distance once, however often the item's pieces occur."""
+    import time
+
+    items = decontam.prepare([1, 2], ["word " * 12, "one two three four five six seven eight nine ten"], 8, 8)
+    took = {}
+    for n in (4_000, 64_000):
+        text = "word " * n + "one two three for five six seven eight nine ten"
+        began = time.perf_counter()
+        for _, h, word_of in decontam.word_ids(pa.array([text])):
+            found = decontam._matches(items, h, word_of)
+        took[n] = time.perf_counter() - began
+        assert found == {(0, 0): (0, 12), (0, 1): (1, n + 10)}
+    assert took[64_000] < 64 * took[4_000]
+
+
+# Written by hand, not by the generator that the trees learn from: (page, main text, texts that must not come).
+BY_HAND = [
+    ("<html><head><title>t</title><body><article><h1>Title</h1><p>The first paragraph tells of rivers, bridges and boats.<p>The second tells of the sea.</article>", "Title\n\nThe first paragraph tells of rivers, bridges and boats.\n\nThe second tells of the sea.", []),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be given, so the sum is four, as was to be shown.</p></article>", "Let x=2 be given, so the sum is four, as was to be shown.", []),
+    ("<body><div class=article><p>A drawing <svg><text>of a ship</text></svg> stands here, beside a long account of its voyage.</p></div></body>", "A drawing stands here, beside a long account of its voyage.", ["ship"]),
+    ("<body><nav><a href=/>Home</a> <a href=/b>Blog</a></nav><main><h2>News</h2><p>Rain fell all night, and the river rose by a metre.</p></main><footer>&copy; 2020 Us</footer></body>", "News\n\nRain fell all night, and the river rose by a metre.", ["Home", "2020"]),
+    ("<body><article><p>Text of the piece, which goes on for a while, and ends.</p></article><section class=comments><h3>Comments</h3><div class=comment><p>I do not agree with this at all.</p></div></section></body>", "Text of the piece, which goes on for a while, and ends.", ["agree"]),
+    ("<body><div id=content><p>One <b>bold</b> word &amp; one <i>slanted</i>, and then some more of the same kind.</p><script>var a = '<p>no</p>';</script><style>p {}</style></div></body>", "One bold word & one slanted, and then some more of the same kind.", ["var", "{}"]),
+    ("<body><article><ul><li>First thing to bring along<li>Second thing to bring along</ul><p>That is all one needs for the walk.</article></body>", "First thing to bring along\n\nSecond thing to bring along\n\nThat is all one needs for the walk.", []),
+    ("<body><main><p>Choose well, and read the notes before.</p><form><select><option>one</option></select><textarea>write</textarea><button>Send</button></form></main></body>", "Choose well, and read the notes before.", ["Send", "write", "one"]),
+    ("<body><article><h1>Trees</h1><blockquote>Old oaks stand by the road, said the guide.</blockquote><table><tr><td>Oak</td><td>300 years</td></tr></table><p>They were planted long ago, before the town grew.</p></article></body>", "Trees\n\nOld oaks stand by the road, said the guide.\n\nOak\n\n300 years\n\nThey were planted long ago, before the town grew.", []),
+    ("<body><header><h1>Daily Post</h1></header><div class='post-body'><p>The council met on Monday, and voted for the bridge.</p><p>Work begins in spring.</p></div><aside class=sidebar><ul><li><a href=#>Other news</a></li></ul></aside></body>", "The council met on Monday, and voted for the bridge.\n\nWork begins in spring.", ["Other", "Daily"]),
+]
+
+
+def test_pages_by_hand(model):
+    got = htmltext.main_texts([page for page, _, _ in BY_HAND], model)
+    assert [t for t, (_, want, _) in zip(got, BY_HAND, strict=True) if t != want] == []
+    assert not [bad for t, (_, _, out) in zip(got, BY_HAND, strict=True) for bad in out if bad in t]
+
+
+def test_parse_is_linear():
+    import time
+
+    took = {}
+    for n in (2_000, 32_000):
+        began = time.perf_counter()
+        page = htmltext.parse("<b>x" * n + "</i>" * n + "<p>y" * n + "<li>z" * n)
+        took[n] = time.perf_counter() - began
+        assert len(page.tag) == 1 + 2 * n
+    assert took[32_000] < 64 * took[2_000]

@@ -267,3 +267,80 @@ def test_the_ledger_scans_what_is_new(spark):
 def test_digest(spark):
     row = secrets.find_secrets(docs(spark, [(1, "token=abcdef", None)])).select(F.sha2(secrets.span_list(F.col("_sec_spans")), 256).alias("h")).head()
     assert row.h == hashlib.sha256(b"assign:0:12").hexdigest()
+
+
+def test_alias_tags_as_html_has_them(spark):
+    """Each page names a blocked address; the verdict tells whether the tag counts."""
+    to = "http://x.com/en/1"
+    cases = [
+        (f'<link rel="alternate canonical" href="{to}">', "block"),
+        (f"<LINK HREF='{to}' REL=Canonical>", "block"),
+        (f'<link title="a > b" rel="canonical" href="{to}">', "block"),
+        (f'<link title="rel=canonical" rel="icon" href="{to}">', "allow"),
+        (f'<link rel="noncanonical" href="{to}">', "allow"),
+        (f'<!-- <link rel="canonical" href="{to}"> -->', "allow"),
+        (f'<script>var x = \'<link rel="canonical" href="{to}">\';</script>', "allow"),
+        (f'<link rel="canonical" href="http://q.org/1"><link rel="canonical" href="{to}">', "block"),
+        (f'<base href="http://x.com/en/"><link rel="canonical" href="1">', "block"),
+        (f'<base href="//x.com/"><base href="http://q.org/"><link rel=canonical href="en/1">', "block"),
+        (f'<meta http-equiv="Refresh" content="5;{to}">', "block"),
+        (f'<meta content="0; URL=\'{to}\'" http-equiv=refresh>', "block"),
+        ('<meta http-equiv="refresh" content="30">', "allow"),
+        (f'<meta name="refresh" content="0; url={to}">', "allow"),
+        ('<link rel="canonical" href="http:&#x2F;&#47;x.com/en/1?a=1&amp;b=2">', "block"),
+        ("<link rel=canonical href=" + "\"\"" * 3000 + f'"{to}">', "allow"),
+        (f'<link rel="canonical" data-x="{"y" * 200_000}" href="{to}">', "block"),
+    ]
+    rows = [(f"http://p{i}.org/z", html) for i, (html, _) in enumerate(cases)]
+    assert [v for *_, v in judged(urls.judge_urls(page(spark, rows)))] == [want for _, want in cases]
+
+
+def test_alias_sql(spark, tmp_path):
+    """The SQL of the query closes over aliases, too."""
+    import duckdb
+
+    from glosswork.llm.queries import ORACLES, QUERIES
+
+    link = lambda to: f'<html><link rel="canonical" href="{to}"><p>x</html>'
+    rows = [
+        ("http://a.com/en/1", "<p>"), ("http://b.org/1", link("http://a.com/en/1")), ("http://b.org/2", link("/1")), ("http://B.org/3#f", link("http://b.org/2#g")),
+        ("http://c.org/1", link("http://example.com/en/7")), ("http://c.org/2", link("http://c.org/1")), ("http://c.org/2", link("http://x.com/en/5")),
+        ("http://d.org/1", '<meta http-equiv="refresh" content="0; url=http://e.org/1">'), ("http://e.org/1", '<meta http-equiv="refresh" content="5; url=/es/2">'),
+        ("http://f.org/es/1", link("http://f.org/q?x=1")), ("http://f.org/q?x=1", None), ("http://f.org/q", "<p>"), ("no address", link("http://a.com/en/1")), (None, link("http://a.com/en/1")),
+    ]
+    page(spark, rows).drop("extra").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLES['op3_url_filter']})").fetchall())
+    got = sorted(tuple(r) for r in QUERIES["op3_url_filter"](spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect())
+    assert got == want and sum(r[4] == "block" for r in got) == 8
+
+
+def test_runs_outlive_a_call(spark, tmp_path):
+    """A second call with the same folder drops the lines of the first; before a commit it can be repeated; runs are not shuffled."""
+    def call(rows, runs):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return {r.doc_id: r._ld_kept for r in linededup.dedup_lines(df, batches=2, runs=runs).collect()}
+
+    def runs():
+        return linededup.LineRuns(Scratch(spark, "t"), root=str(tmp_path / "runs"))
+
+    first = [(i, f"a line of number {i}\nthe line of everyone\nshort") for i in range(6)]
+    one = runs()
+    assert call(first, one)[0] == first[0][1] and call(first, runs())[5] == "a line of number 5\nshort"
+    one.commit()
+    second = [(9, "THE LINE of everyone \nnew line of number 9"), (10, "a line of number 3\nnew line of number 9")]
+    two = runs()
+    assert call(second, two) == {9: "new line of number 9", 10: ""}
+    two.commit()
+    three = runs()
+    assert call([(20, "new line of number 9\nlast line of all")], three) == {20: "last line of all"}
+    hashes = spark.createDataFrame([(1, 2, 3)], "_ld_id long, _ld_h1 long, _ld_h2 long")
+    seen = [n for level in three.levels for n in level]
+    own = hashes.groupBy(*linededup.HASHES).agg(F.min("_ld_id").alias("i"))
+    for n in seen:
+        own = own.join(three.read(n).select(*linededup.HASHES).hint("merge"), linededup.HASHES, "left")
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert seen and plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == len(seen)
+    with pytest.raises(ValueError, match="_ld_kept"):
+        linededup.dedup_lines(spark.createDataFrame([(1, "x", 1)], "doc_id long, text string, _ld_kept int"))

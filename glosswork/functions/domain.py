@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from glosswork.functions.text import fold, trim
+from glosswork.functions.text import accent_table, trim
 
 # The 22 letters in printed order, and their names in storage.
 LETTERS = "A B C D Đ E G H Y K L M N O P Q R S T U V X".split()
@@ -33,17 +35,30 @@ def _lookup(keys, values, c: Column) -> Column:
     return out
 
 
+@lru_cache(maxsize=1)
+def initials() -> tuple[str, str]:
+    """Every character that folds to a letter, and its letter: one lookup instead of a fold in each branch of a rank."""
+    bare = dict(zip(*accent_table(), strict=True))
+    out = {}
+    for code in range(0x41, 0x2200):
+        char = chr(code)
+        letter = "Đ" if char in "Đđ" else bare.get(char, char).lower().upper()
+        letter = "Y" if letter == "I" else letter
+        if letter in LETTERS and letter != char:
+            out[char] = letter
+    return "".join(out), "".join(out.values())
+
+
 def letter_of(reading: Column) -> Column:
     """The letter under which a reading stands: Đ is told from D before folding, i and y stand under Y; null if none."""
-    initial = F.substring(reading, 1, 1)
-    bare = F.upper(fold(initial))
-    letter = F.when(initial.isin("Đ", "đ"), F.lit("Đ")).when(bare.isin("I", "Y"), F.lit("Y")).otherwise(bare)
+    src, dst = initials()
+    letter = F.translate(F.substring(reading, 1, 1), src, dst)
     return F.when(letter.isin(*LETTERS), letter)
 
 
 def letter_rank(letter: Column) -> Column:
     """Place in printed order, from 0; null for anything else."""
-    return _lookup(LETTERS, range(len(LETTERS)), letter).cast("int")
+    return (F.nullif(F.array_position(F.array(*[F.lit(x) for x in LETTERS]), letter), F.lit(0)) - 1).cast("int")
 
 
 def letter_name(letter: Column) -> Column:

@@ -19,6 +19,8 @@ from glosswork.operators.ordered import computed_once
 GATES = {1: "unmapped glyphs", 2: "headword coverage", 3: "character conservation", 4: "index reconciliation", 5: "collation order", 7: "printed errata", 8: "scan verified"}
 #: Codes that fonts use for nothing visible.
 ACCEPTED_CODES = (0x0000, 0x002A)
+#: A dossier that people write stays far below this.
+WORDING_BYTES = 8 << 20
 FNV_OFFSET, FNV_PRIME = 0xCBF29CE484222325, 0x100000001B3
 
 
@@ -107,9 +109,11 @@ def errata_verdicts(entries: DataFrame, texts: DataFrame, errata: DataFrame) ->
     glyphs = errata.where("kind = 'glyph'")
     matches = glyphs.join(entries.select(F.col("reading").alias("_r"), "gloss", "glyph"), (F.col("reading") == F.col("_r")) & F.col("gloss").contains(F.col("anchor")), "left")
     judged = matches.groupBy("row_no").agg(F.count("_r").alias("_n"), F.count_if(F.col("glyph") == F.col("corrected")).alias("_ok"))
-    # The corpus is scanned once: each text is tested against the superseded wordings, a human-written list.
+    # The corpus is scanned once: each text is tested against the superseded wordings, a human-written list, whose size is checked.
     wordings = errata.where("kind = 'text' and printed <> ''").select("row_no", "printed")
-    hits = texts.join(wordings, texts["text"].contains(F.col("printed"))).select("row_no").distinct().withColumn("_hit", F.lit(True))
+    if (wordings.agg(F.sum(F.octet_length("printed") + 8)).head()[0] or 0) > WORDING_BYTES:
+        raise ValueError("the list of superseded wordings is too long to be broadcast")
+    hits = texts.join(F.broadcast(wordings), texts["text"].contains(F.col("printed"))).select("row_no").distinct().withColumn("_hit", F.lit(True))
     own = errata.join(judged, "row_no", "left").join(hits, "row_no", "left")
     failed = F.when(F.col("kind") == "glyph", ~((F.col("_n") == 1) & (F.col("_ok") == 1))).when(F.col("kind") == "text", F.coalesce("_hit", F.lit(False))).otherwise(F.lit(False))
     own = own.withColumn("_failed", failed).withColumn("failed", F.bool_or("_failed").over(Window.partitionBy("source", "page")))

@@ -7,16 +7,19 @@ for each run. Pairing inside runs, comparison and sub-entry partners are joins a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glosswork.functions.text import shape_note, trim, unicode_glyph, wiki_plain, witness_fold
-from glosswork.operators.ordered import islands
+from glosswork.operators.ordered import previous_value, running_sums
 from glosswork.session import ship_package
 
 # How far the walk looks ahead, how long a telling definition is, the kinds of findings.
 LOOKAHEAD, DISTINCTIVE = 12, 12
+#: Entries of an edition that one window holds.
+STRETCH = 1024
 CONTRADICTIONS = ("column_boundary", "glyph_differs")
 KINDS = (*CONTRADICTIONS, "glyph_unencodable_there", "shape_note_available", "entry_only_there", "entry_only_here", "flagged_here")
 
@@ -90,25 +93,24 @@ def read_witness(pages: DataFrame, entry_template: str, sub_template: str) -> tu
     return entries, subs
 
 
-def walk(ours: list[str], theirs: list[str], our_sizes: list[int], their_sizes: list[int]) -> list[tuple[int, int]]:
-    """Pairs of runs that stand for each other, by the two ordered lists of run keys and the entries in each run.
+def walk(ours: list[str], theirs: list[str], our_sizes: list[int], their_sizes: list[int]) -> list[tuple[int, int, int, int]]:
+    """(run, run, entry, entry): runs that stand for each other, each from the given entry on, by the two ordered lists of
+    run keys and the entries in each run.
 
-    Equal keys pair. Otherwise the nearest entry on either side, at most LOOKAHEAD entries away, that restores agreement is
-    taken, theirs first at each distance; without one both sides step by one entry. What is left over is on one side only.
+    Equal keys pair, up to the ends of their runs. Otherwise the nearest entry on either side, at most LOOKAHEAD entries away,
+    that restores agreement is taken, theirs first at each distance; without one both sides step by one entry. What is
+    left over, the entries of a run before the step that meets it too, is on one side only.
     """
     a = [k for k, n in zip(ours, our_sizes, strict=True) for _ in range(n)]
     b = [k for k, n in zip(theirs, their_sizes, strict=True) for _ in range(n)]
     run_a = [i for i, n in enumerate(our_sizes) for _ in range(n)]
     run_b = [i for i, n in enumerate(their_sizes) for _ in range(n)]
-    end_a, end_b = [0] * len(a), [0] * len(b)
-    for keys, end in ((a, end_a), (b, end_b)):
-        for i in range(len(keys) - 1, -1, -1):
-            end[i] = end[i + 1] if i + 1 < len(keys) and keys[i + 1] == keys[i] else i + 1
+    past_a, past_b = list(accumulate(our_sizes)), list(accumulate(their_sizes))
     out, i, j = [], 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            out.append((i, j, end_a[i], end_b[j]))
-            i, j = end_a[i], end_b[j]
+            out.append((run_a[i], run_b[j], i, j))
+            i, j = past_a[run_a[i]], past_b[run_b[j]]
             continue
         for d in range(1, LOOKAHEAD + 1):
             if j + d < len(b) and b[j + d] == a[i]:
@@ -119,28 +121,32 @@ def walk(ours: list[str], theirs: list[str], our_sizes: list[int], their_sizes:
                 break
         else:
             i, j = i + 1, j + 1
-    # A pairing that starts inside a run, after a step of one, is still that run's.
-    return [(run_a[x], run_b[y]) for x, y, _, _ in out]
+    return out
 
 
 def _runs(entries: DataFrame, order: str) -> DataFrame:
-    keyed = entries.withColumns({"_key": witness_fold(F.col("reading")), "_all": F.lit(0)})
-    return islands(keyed, "run", F.col("_key"), by=["_all"], order=[order]).drop("_all")
+    """``entries`` with ``_key``, ``run`` and ``_place``, both from 1, in stretches of the order: no window holds a whole edition."""
+    keyed = entries.withColumns({"_key": witness_fold(F.col("reading")), "_book": F.lit(0), "_page": F.floor(F.col(order) / STRETCH)})
+    at = {"book": "_book", "page": "_page", "order": order}
+    keyed = previous_value(keyed, "_before", F.struct("_key"), **at)
+    new = F.when(F.col("_before").isNull() | ~F.col("_before._key").eqNullSafe(F.col("_key")), 1).otherwise(0)
+    return running_sums(keyed, {"run": new, "_place": F.lit(1)}, **at).drop("_book", "_page", "_before")
 
 
 def align(ours: DataFrame, theirs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs, only ours, only theirs) of entries (seq, reading, glyph) and (seq, reading, glyph_field).
 
     pairs holds our_seq and their_seq. In a paired run entries of equal glyph pair first, in order; the others by position.
+    ``seq`` is an integer without repeats.
     """
     spark = ours.sparkSession
     a, b = _runs(ours, "seq"), _runs(theirs, "seq").withColumn("glyph", unicode_glyph(F.col("glyph_field")))
     # One short key for each run goes to the driver; the walk looks ahead and cannot be split.
     keys = [x.groupBy("run").agg(F.first("_key").alias("k"), F.count("*").alias("n")).orderBy("run").collect() for x in (a, b)]
     links = walk([r.k for r in keys[0]], [r.k for r in keys[1]], [r.n for r in keys[0]], [r.n for r in keys[1]])
-    linked = spark.createDataFrame([(keys[0][x].run, keys[1][y].run, n) for n, (x, y) in enumerate(links)], "run_a long, run_b long, link long")
-    a = a.join(linked.select(F.col("run_a").alias("run"), "link"), "run").select("link", F.col("seq").alias("our_seq"), "glyph")
-    b = b.join(linked.select(F.col("run_b").alias("run"), "link"), "run").select("link", F.col("seq").alias("their_seq"), "glyph")
+    linked = spark.createDataFrame([(keys[0][x].run, keys[1][y].run, i, j, n) for n, (x, y, i, j) in enumerate(links)], "run_a long, run_b long, from_a long, from_b long, link long")
+    a = a.join(linked.select(F.col("run_a").alias("run"), "link", "from_a"), "run").where(F.col("_place") > F.col("from_a")).select("link", F.col("seq").alias("our_seq"), "glyph")
+    b = b.join(linked.select(F.col("run_b").alias("run"), "link", "from_b"), "run").where(F.col("_place") > F.col("from_b")).select("link", F.col("seq").alias("their_seq"), "glyph")
     same_a = a.withColumn("_n", F.row_number().over(Window.partitionBy("link", "glyph").orderBy("our_seq")))
     same_b = b.withColumn("_n", F.row_number().over(Window.partitionBy("link", "glyph").orderBy("their_seq")))
     equal = same_a.where("glyph is not null").join(same_b, ["link", "glyph", "_n"]).select("link", "our_seq", "their_seq")

@@ -36,15 +36,20 @@ class Catalog:
     def summaries(self) -> DataFrame:
         return self.entry.select(*SUMMARY)
 
+    def padded(self) -> DataFrame:
+        """Summaries with the constant tier and score of rows that no search ranked."""
+        return self.summaries().select("*", F.lit(0).alias("tier"), F.lit(0.0).alias("score"))
+
     def lookup(self, slug: str) -> DataFrame:
-        """The entry with its sub-entries nested in order, its page, and its neighbours in book order."""
+        """The entry with its sub-entries nested in order, its page, and its neighbours in book order (``seq`` is dense)."""
         one = self.entry.where(F.col("slug") == slug)
         nested = F.array_sort(F.collect_list(F.struct("sub_seq", "han_form", "han_expanded", "form", "form_expanded", "definition", "needs_review")))
         subs = self.sub_entry.join(one.select("seq"), "seq", "left_semi").groupBy("seq").agg(nested.alias("subs"))
-        seq = one.select("seq")
-        before = self.entry.join(seq.select(F.col("seq").alias("_s")), F.col("seq") < F.col("_s")).agg(F.max_by("slug", "seq").alias("previous"))
-        after = self.entry.join(seq.select(F.col("seq").alias("_s")), F.col("seq") > F.col("_s")).agg(F.min_by("slug", "seq").alias("next"))
-        return one.select(*SUMMARY, "alternate", "shape_note").join(subs, "seq", "left").join(self.page.select("page", "head_first", "head_last"), "page").crossJoin(before).crossJoin(after)
+        near = self.entry.select("seq", "slug")
+        before = near.select((F.col("seq") + 1).alias("seq"), F.col("slug").alias("previous"))
+        after = near.select((F.col("seq") - 1).alias("seq"), F.col("slug").alias("next"))
+        own = one.select(*SUMMARY, "alternate", "shape_note").join(subs, "seq", "left").join(self.page.select("page", "head_first", "head_last"), "page")
+        return own.join(before, "seq", "left").join(after, "seq", "left")
 
     def search(self, raw: str, mode: str = "auto", page: int = 1, size: int = S.PAGE_SIZE) -> dict[str, DataFrame]:
         """results, total, suggestions (only without results) and bridge (always)."""
@@ -85,10 +90,11 @@ class Catalog:
         return self.summaries().orderBy("seq")
 
     def stats(self) -> DataFrame:
-        """Seven counts in one row: one aggregate for each table."""
+        """Seven counts and the pages that carry entries, in one row: one aggregate for each table."""
         e = self.entry.agg(F.count("*").alias("entries"), F.count_if(F.col("glyph").isNull()).alias("image_entries"), F.count_if("needs_review").alias("review"))
         s = self.sub_entry.agg(F.count("*").alias("sub_entries"), F.count_if("needs_review").alias("sub_review"))
-        return e.crossJoin(s).crossJoin(self.glyph.agg(F.count("*").alias("glyphs"))).crossJoin(self.page.agg(F.count("*").alias("pages")))
+        own = e.crossJoin(s).crossJoin(self.glyph.agg(F.count("*").alias("glyphs"))).crossJoin(self.page.agg(F.count("*").alias("pages")))
+        return own.crossJoin(self.entry.agg(F.countDistinct("page").alias("pages_with_entries")))
 
     def letter_counts(self) -> DataFrame:
         return self.entry.groupBy("letter").agg(F.count("*").alias("entries"))

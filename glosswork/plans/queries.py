@@ -373,8 +373,8 @@ def run_pairing(spark, sf_dir):
                CASE WHEN same THEN pj WHEN db IS NOT NULL AND db <= coalesce(da, 99) THEN j + db WHEN da IS NOT NULL THEN j ELSE j + 1 END::BIGINT
         FROM (SELECT i, j, a[i] = b[j] AS same, pa[i] AS pi, pb[j] AS pj, nullif(list_position(b[j+1:j+12], a[i]), 0) AS db, nullif(list_position(a[i+1:i+12], b[j]), 0) AS da
             FROM w, l WHERE i <= len(a) AND j <= len(b))),
-    m AS (SELECT ea.run AS x, eb.run AS y FROM w JOIN ea ON ea.p = w.i JOIN eb ON eb.p = w.j WHERE ea.key = eb.key),
-    ga AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN ea ON run = x), gb AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN eb ON run = y),
+    m AS (SELECT ea.run AS x, eb.run AS y, w.i, w.j FROM w JOIN ea ON ea.p = w.i JOIN eb ON eb.p = w.j WHERE ea.key = eb.key),
+    ga AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN ea ON run = x AND p >= i), gb AS (SELECT x, k, glyph, row_number() OVER (PARTITION BY x, glyph ORDER BY k) AS n FROM m JOIN eb ON run = y AND p >= j),
     e AS (SELECT ga.k AS ka, gb.k AS kb FROM ga JOIN gb USING (x, glyph, n)),
     la AS (SELECT x, k, row_number() OVER (PARTITION BY x ORDER BY k) AS n FROM ga WHERE k NOT IN (SELECT ka FROM e)), lb AS (SELECT x, k, row_number() OVER (PARTITION BY x ORDER BY k) AS n FROM gb WHERE k NOT IN (SELECT kb FROM e)),
     pairs AS (SELECT ka, kb FROM e UNION ALL SELECT la.k, lb.k FROM la JOIN lb USING (x, n))

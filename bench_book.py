@@ -31,7 +31,7 @@ def synthetic_book(spark: SparkSession, copies: int) -> DataFrame:
         F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(5000)).alias("k"),
     )
     word = F.concat(F.lit("Tiếng"), F.col("k").cast("string"))
-    glyph = F.chr((F.lit(0x4E00) + F.col("k")).cast("int"))
+    glyph = F.decode(F.unhex(F.hex(F.lit(0x4E00) + F.col("k"))), "UTF-16BE")
     seg = lambda style, text: F.struct(F.lit(style).alias("style"), text.alias("text"))
     first, last = F.col("line_no") == 0, F.col("line_no") == per - 1
     segments = (

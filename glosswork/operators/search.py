@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glosswork.functions.domain import HAN_NOM
 from glosswork.functions.text import fold, fold_text, let
+from glosswork.session import ship_package
 
 # Ranks of the tiers, modes, limits and the similarity threshold.
 TIERS = ("exact_reading", "exact_glyph", "prefix_reading", "unaccented_reading", "full_text", "fuzzy")
@@ -223,13 +226,21 @@ def browser_search(entries: DataFrame, raw: str, mode: str = "auto", limit: int
     return hits.unionByName(close.crossJoin(none).where("_none").select("seq", F.lit(RANK["fuzzy"]).alias("tier")))
 
 
+def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, words, places = [], [], []
+        for row, found in enumerate(batch.column(1).to_pylist()):
+            own: dict[str, list[int]] = {}
+            for i, token in enumerate(found or ()):
+                own.setdefault(token, []).append(i)
+            rows += [row] * len(own)
+            words += own
+            places += own.values()
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.list_(pa.int32()))], names=["token", batch.schema.names[0], "positions"])
+
+
 def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(token, key, positions): the inverted index. A text is indexed where it lies; nothing is shuffled."""
-    placed = F.sort_array(F.transform(tokens(F.col(text)), lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
-    own = rows.select(key, placed.alias("_p"))
-    # Equal tokens are neighbours now: a group starts where the token changes. Without tokens there is no list of starts.
-    starts = F.filter(F.when(F.size("_p") > 0, F.sequence(F.lit(0), F.size("_p") - 1)), lambda i: (i == 0) | (F.get("_p", i)["t"] != F.get("_p", i - 1)["t"]))
-    own = own.withColumn("_s", starts)
-    ends = lambda j: F.coalesce(F.get("_s", j + 1), F.size("_p"))
-    groups = F.transform("_s", lambda s, j: F.struct(F.get("_p", s)["t"].alias("token"), F.transform(F.slice("_p", s + 1, ends(j) - s), lambda x: x["i"]).alias("positions")))
-    return own.select(key, F.explode(groups).alias("_g")).select("_g.token", key, "_g.positions")
+    """(token, key, positions): the inverted index. A text is indexed where it lies, in Arrow batches; nothing is shuffled."""
+    ship_package(rows.sparkSession)
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(key, tokens(F.col(text)).alias("_t")).mapInArrow(_positions, f"token string, {key} {kind}, positions array<int>")

@@ -74,12 +74,6 @@ def visible_len(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.sum(T.visible_length(F.col("text"))).cast("long").alias("visible"), F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, count(*)::BIGINT AS n_lines, sum(length(line))::BIGINT AS chars FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY doc_id")
-def text_lines(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("long").alias("chars"))
-
-
 @query(r"""
     WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
     t AS (SELECT *, trim(line) AS own, line LIKE '%.' AS stop FROM l),
@@ -101,49 +95,17 @@ def line_roles(spark, sf_dir):
     return docs.select("lang", role.alias("role"), sub_entry_signal(stop, mark).alias("signal")).groupBy("lang", "role", "signal").agg(F.count("*").alias("n"))
 
 
-@query(r"""SELECT doc_id, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-    WHERE regexp_matches(line, '^(.*\S)?\s+(of|the)\.\s*$') AND NOT regexp_matches(line, '[a-z]\.\s+(of|the)\.\s*$') GROUP BY doc_id""")
-def label_runs(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
-    # The label rule on two words of the corpus: they are put in place of the labels first.
-    labelled = F.regexp_replace("line", r"(?<=\s)(?:of|the)\.(?=\s*$)", "n.")
-    kept = rows.where(ends_with_labels(labelled) & (labelled != F.col("line")) & ~F.col("line").rlike(r"[a-z]\.\s+(?:of|the)\.\s*$"))
-    return kept.groupBy("doc_id").agg(F.count("*").alias("n"))
-
-
 @query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
     r AS (SELECT *, regexp_extract(line, '(\s+((of|the)\.|(cn\.|c\.|n\.)+))+\s*$') AS run FROM l)
     SELECT doc_id, count(*)::BIGINT AS n FROM r WHERE regexp_matches(run, '\s(of|the)\.') AND NOT regexp_matches(left(line, length(line) - length(run)), '[cn]\.$') GROUP BY doc_id""")
 def label_whole(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
-    # As in label_runs, but each word of a run is put in place of a label.
+    # The label rule on two words of the corpus: each word of a run is put in place of a label.
     labelled = F.regexp_replace("line", r"(?<=\s)(?:of|the)\.(?=(?:\s+(?:(?:of|the)\.|(?:cn\.|c\.|n\.)+))*\s*\z)", "n.")
     kept = rows.where(ends_with_labels(labelled) & (labelled != F.col("line")))
     return kept.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT DISTINCT ch, unicode(ch)::INT AS code FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) WHERE ch <> ''")
-def distinct_chars(spark, sf_dir):
-    chars = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split("text", ""))).alias("ch")).where("ch <> ''").distinct()
-    return chars.select("ch", F.ascii("ch").alias("code"))
-
-
-@query(r"""SELECT page_id, i::INT AS at, links[i] AS href FROM (SELECT page_id, links, unnest(range(1, len(links) + 1)) AS i
-    FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages))""")
-def html_fields(spark, sf_dir):
-    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(found).alias("at", "href")).select("page_id", (F.col("at") + 1).alias("at"), "href")
-
-
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 10 THEN 'left' ELSE 'right' END AS side,
-    round(l_extendedprice, 2) AS price FROM lineitem WHERE abs(l_discount - 0.05) < 0.005""")
-def column_split(spark, sf_dir):
-    from glosswork.operators.layout import column_of
-
-    rows = table(spark, sf_dir, "lineitem").where(F.abs(F.col("l_discount") - 0.05) < 0.005)
-    return rows.select("l_orderkey", "l_linenumber", column_of(F.col("l_quantity"), F.lit(20.0)).alias("side"), F.round("l_extendedprice", 2).alias("price"))
-
-
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 10 THEN 'left' ELSE 'right' END AS side, round(l_extendedprice, 2) AS price FROM lineitem")
 def column_whole(spark, sf_dir):
     from glosswork.operators.layout import column_of
@@ -185,18 +147,6 @@ def expand_forms(spark, sf_dir):
 # --- ordered sequences ------------------------------------------------------------
 
 
-@query("""
-    WITH b AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM conversations)
-    SELECT conv_id, block::BIGINT AS block, count(*)::BIGINT AS n, md5(string_agg(text, ' ' ORDER BY turn)) AS body FROM b WHERE block > 0 GROUP BY conv_id, block
-""")
-def assemble_blocks(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    rows = c.withColumn("block", F.sum((F.col("role") == "user").cast("long")).over(w)).where("block > 0")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]), " ")
-    return rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.md5(body).alias("body"))
-
-
 @query("""SELECT o_orderkey, sum((o_orderstatus = 'F')::BIGINT) OVER (ORDER BY o_orderkey)::BIGINT AS entry_no,
     last_value(CASE WHEN o_orderstatus = 'F' THEN o_custkey END IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS context FROM orders""")
 def ordered_stream(spark, sf_dir):
@@ -206,23 +156,6 @@ def ordered_stream(spark, sf_dir):
     return ordered.carry_forward(out, "context", F.when(head, F.col("o_custkey")), order="o_orderkey").select("o_orderkey", "entry_no", "context")
 
 
-@query("""
-    WITH b AS (SELECT conv_id, turn, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM conversations)
-    SELECT conv_id, count(*)::BIGINT AS turns, count(DISTINCT turn)::BIGINT AS places, count(*) FILTER (block = 0)::BIGINT AS orphans FROM b GROUP BY conv_id
-""")
-def line_partition(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    rows = c.withColumn("block", F.sum((F.col("role") == "user").cast("long")).over(w))
-    return rows.groupBy("conv_id").agg(F.count("*").alias("turns"), F.countDistinct("turn").alias("places"), F.count_if(F.col("block") == 0).alias("orphans"))
-
-
-@query("""SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS context FROM events""")
-def inherit_context(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, sf_dir, "events").select("event_id", F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), ignorenulls=True).over(w).alias("context"))
-
-
 @query("""
     WITH c AS (SELECT *, (event_type IS DISTINCT FROM lag(event_type) OVER w)::INT AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM c)
@@ -313,13 +246,6 @@ def dossier_totals(spark, sf_dir):
     return dossier.totals({"labels": a, "nation": b})
 
 
-@query("""SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON abs((d.doc_id % 40) - (b.item_id % 40)) <= 1 AND contains(d.text, b.text)""")
-def range_contains(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), (F.col("doc_id") % 40).alias("page"), "text")
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_no"), (F.col("item_id") % 40).alias("page"), "text")
-    return dossier.by_page_range(docs, items).select(F.col("seq").alias("doc_id"), F.col("row_no").alias("item_id"))
-
-
 @query("SELECT DISTINCT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def contains_whole(spark, sf_dir):
     # Forty pages only deal the documents out: the reach spans them all from the items' page.
@@ -341,25 +267,6 @@ def exactly_one(spark, sf_dir):
     return gates.errata_verdicts(found, texts, errata).select(F.col("row_no").alias("n_nationkey"), "failed")
 
 
-@query("""
-    WITH a AS (SELECT DISTINCT l_partkey % 50 AS run, l_orderkey % 7 AS g, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS k FROM lineitem WHERE l_returnflag = 'A'),
-    b AS (SELECT DISTINCT l_partkey % 50 AS run, l_orderkey % 7 AS g, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'),
-    ra AS (SELECT *, row_number() OVER (PARTITION BY run, g ORDER BY k) AS n FROM a), rb AS (SELECT *, row_number() OVER (PARTITION BY run, g ORDER BY k) AS n FROM b),
-    e AS (SELECT ra.run, ra.k AS ka, rb.k AS kb FROM ra JOIN rb USING (run, g, n)),
-    la AS (SELECT run, k, row_number() OVER (PARTITION BY run ORDER BY k) AS n FROM a WHERE k NOT IN (SELECT ka FROM e)),
-    lb AS (SELECT run, k, row_number() OVER (PARTITION BY run ORDER BY k) AS n FROM b WHERE k NOT IN (SELECT kb FROM e))
-    SELECT run, ka, kb FROM e UNION ALL SELECT coalesce(la.run, lb.run), la.k, lb.k FROM la FULL JOIN lb ON la.run = lb.run AND la.n = lb.n
-""")
-def run_pairing(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("run"), (F.col("l_orderkey") % 7).alias("g"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("k"), "l_returnflag").distinct()
-    a, b = rows.where("l_returnflag = 'A'").select("run", "g", F.col("k").alias("ka")), rows.where("l_returnflag = 'R'").select("run", "g", F.col("k").alias("kb"))
-    nth = lambda df, k, *by: df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(k)))
-    equal = nth(a, "ka", "run", "g").join(nth(b, "kb", "run", "g"), ["run", "g", "n"]).select("run", "ka", "kb")
-    rest_a = nth(a.join(equal, ["run", "ka"], "left_anti").drop("g"), "ka", "run")
-    rest_b = nth(b.join(equal, ["run", "kb"], "left_anti").drop("g"), "kb", "run")
-    return equal.unionByName(rest_a.join(rest_b, ["run", "n"], "full_outer").select("run", "ka", "kb"))
-
-
 @query("""
     WITH RECURSIVE oa AS (SELECT s_suppkey AS k, s_nationkey AS key, CASE WHEN s_acctbal > 5000 THEN 'A' ELSE 'B' END AS glyph, row_number() OVER (ORDER BY s_suppkey) AS p FROM supplier),
     ob AS (SELECT c_custkey AS k, c_nationkey AS key, substr(c_mktsegment, 1, 1) AS glyph, row_number() OVER (ORDER BY c_custkey) AS p FROM customer),
@@ -390,23 +297,6 @@ def edition_alignment(spark, sf_dir):
     return out.unionByName(left.select(F.col("seq").alias("ka"), none.alias("kb"))).unionByName(right.select(none.alias("ka"), F.col("seq").alias("kb")))
 
 
-@query("""
-    WITH a AS (SELECT conv_id, turn, lower(text) AS d FROM conversations WHERE role = 'user'), b AS (SELECT conv_id, turn, lower(text) AS d FROM conversations WHERE role <> 'user'),
-    ua AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY conv_id % 20, substr(d, 1, 5)) AS n FROM a) WHERE n = 1 AND length(d) >= 12),
-    ub AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY conv_id % 20, substr(d, 1, 5)) AS n FROM b) WHERE n = 1)
-    SELECT ua.conv_id AS conv_a, ua.turn AS turn_a, ub.conv_id AS conv_b, ub.turn AS turn_b FROM ua JOIN ub ON ua.conv_id % 20 = ub.conv_id % 20 AND substr(ua.d, 1, 5) = substr(ub.d, 1, 5)
-""")
-def partner_unique(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") % 20).alias("pair"), "conv_id", "turn", "role", F.lower("text").alias("d")).withColumn("key", F.left("d", F.lit(5)))
-
-    def unique(df):
-        return df.withColumn("n", F.count("*").over(Window.partitionBy("pair", "key"))).where("n = 1")
-
-    a = unique(rows.where("role = 'user'")).where(F.length("d") >= 12).select("pair", "key", F.col("conv_id").alias("conv_a"), F.col("turn").alias("turn_a"))
-    b = unique(rows.where("role <> 'user'")).select("pair", "key", F.col("conv_id").alias("conv_b"), F.col("turn").alias("turn_b"))
-    return a.join(b, ["pair", "key"]).select("conv_a", "turn_a", "conv_b", "turn_b")
-
-
 @query(f"""
     WITH t AS (SELECT conv_id % 20 AS pair, conv_id, turn, role, {WITNESS.format('text')} AS d, {WITNESS.format('split_part(text, chr(10), 1)')} AS f FROM conversations),
     a AS (SELECT *, count(*) OVER (PARTITION BY pair, d) AS nd, count(*) OVER (PARTITION BY pair, f) AS nf FROM t WHERE role = 'user'),
@@ -424,28 +314,6 @@ def partner_whole(spark, sf_dir):
     return out.select(F.col("sub_seq.conv_id").alias("conv_a"), F.col("sub_seq.turn").alias("turn_a"), F.col("sub_no.conv_id").alias("conv_b"), F.col("sub_no.turn").alias("turn_b"))
 
 
-@query("""
-    SELECT c.c_custkey, n.n_name, r.r_name, count(o.o_orderkey)::BIGINT AS orders, list_sort(list(o.o_orderkey) FILTER (o.o_orderkey IS NOT NULL))[1] AS first_order
-    FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY ALL
-""")
-def nested_lookup(spark, sf_dir):
-    c, n, r, o = (table(spark, sf_dir, t) for t in ("customer", "nation", "region", "orders"))
-    per = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("list"))
-    # nation and region have fixed sizes.
-    where = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
-    out = c.join(F.broadcast(where), c["c_nationkey"] == where["n_nationkey"]).join(per, "c_custkey", "left")
-    return out.select("c_custkey", "n_name", "r_name", F.coalesce(F.size("list"), F.lit(0)).cast("long").alias("orders"), F.try_element_at("list", F.lit(1)).alias("first_order"))
-
-
-@query("""SELECT DISTINCT p_brand AS glyph, 'first' AS side FROM part WHERE p_size <= 3 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 49)
-    UNION ALL SELECT DISTINCT p_brand, 'second' FROM part WHERE p_size > 49 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_size <= 3)
-    UNION ALL SELECT p_brand, 'both' FROM (SELECT p_brand FROM part WHERE p_size <= 3 INTERSECT SELECT p_brand FROM part WHERE p_size > 49)""")
-def set_operations(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    a, b = p.where("p_size <= 3").select(F.col("p_brand").alias("glyph")), p.where("p_size > 49").select(F.col("p_brand").alias("glyph"))
-    return a.subtract(b).withColumn("side", F.lit("first")).unionByName(b.subtract(a).withColumn("side", F.lit("second"))).unionByName(a.intersect(b).withColumn("side", F.lit("both")))
-
-
 @query("""
     WITH RECURSIVE e AS (
         SELECT 'c' || c_custkey AS src, 'n' || c_nationkey AS dst FROM customer UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier
@@ -471,18 +339,6 @@ def roles_histogram(spark, sf_dir):
     return gates.roles_report(table(spark, sf_dir, "events").select(F.col("event_type").alias("role")))
 
 
-@query("""SELECT source, arg_min(lang, doc_id) AS letter, count(DISTINCT lang)::BIGINT AS letters FROM documents GROUP BY source""")
-def letter_pages(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.min_by("lang", "doc_id").alias("letter"), F.countDistinct("lang").alias("letters"))
-
-
-@query("""SELECT (SELECT count(*) FROM orders)::BIGINT AS entries, (SELECT count(*) FROM lineitem)::BIGINT AS sub_entries, (SELECT count(DISTINCT o_custkey) FROM orders)::BIGINT AS glyphs,
-    (SELECT count(*) FILTER (o_orderstatus = 'P') FROM orders)::BIGINT AS review""")
-def stats_one_row(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").agg(F.count("*").alias("entries"), F.countDistinct("o_custkey").alias("glyphs"), F.count_if(F.col("o_orderstatus") == "P").alias("review"))
-    return o.crossJoin(table(spark, sf_dir, "lineitem").agg(F.count("*").alias("sub_entries")))
-
-
 @query("""
     WITH m AS (SELECT 1 AS gate, (SELECT count(*) FROM documents WHERE text IS NULL) AS measured, 0 AS allowed UNION ALL
         SELECT 2, (SELECT count(*) FROM documents WHERE length(text) < 10), 0 UNION ALL
@@ -510,12 +366,6 @@ def page_paging(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey").offset(p.offset).limit(p.size)
 
 
-@query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 1 OFFSET (SELECT 20000 % count(*) FROM part)")
-def day_entry(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return p.orderBy("p_partkey").offset(20000 % max(1, p.count())).limit(1)
-
-
 @query("SELECT floor((seq - 1) / 100)::INT AS shard, count(*)::BIGINT AS n, min(k) AS first_key, max(k) AS last_key FROM (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS seq FROM orders) GROUP BY 1")
 def shard_export(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.lit("o").alias("book"), F.floor(F.col("o_orderkey") / 256).alias("page"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glosswork.operators import assemble, dossier, gates
 from glosswork.operators.search import SUGGESTIONS
-from glosswork.plans import ingest
+from glosswork.plans import book_queries, ingest  # noqa: F401
 from glosswork.plans.catalog import Catalog, composite_closure
 from glosswork.plans.queries import ORACLES, QUERIES
 from glosswork.streaming import harvest

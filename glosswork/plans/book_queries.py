@@ -101,7 +101,7 @@ def book_entries(spark, sf_dir):
 
 @query(f"""{BOOK} SELECT seq::INT AS seq, 1 AS sub_seq, NULL::VARCHAR AS han_form, NULL::VARCHAR AS han_expanded, '― ' || lower(p_brand) || '.' AS form, reading || ' ' || lower(p_brand) || '.' AS form_expanded,
         'Made of ' || p_size || ' and more of it.' AS definition, false AS needs_review FROM e
-    UNION ALL SELECT seq, 2, '| ' || own, replace('| ' || own, '|', glyph), '― of size.', reading || ' of size.', CASE WHEN page = {D.BODY_PAGE} THEN 'Size it was.' ELSE 'Size it is.' END, false FROM e""")
+    UNION ALL SELECT seq::INT, 2, '| ' || own, replace('| ' || own, '|', glyph), '― of size.', reading || ' of size.', CASE WHEN page = {D.BODY_PAGE} THEN 'Size it was.' ELSE 'Size it is.' END, false FROM e""")
 def book_subs(spark, sf_dir):
     return parsed_book(spark, sf_dir).subs.select("seq", "sub_seq", "han_form", "han_expanded", "form", "form_expanded", "definition", "needs_review")
 
@@ -209,8 +209,8 @@ def book_pages(spark, sf_dir):
 
 @query(f"""{BOOK}, r AS (SELECT seq, row_number() OVER (ORDER BY seq) AS n, count(*) OVER () AS c, reading, glyph, page FROM e)
     SELECT 'day' AS call, seq::INT AS seq FROM r WHERE n = 1 + 12345 % c
-    UNION ALL SELECT 'letter', seq FROM (SELECT seq, row_number() OVER (ORDER BY seq) AS i FROM r WHERE page IN (SELECT page FROM (SELECT page, arg_min(lower(reading[1]), seq) AS a FROM e GROUP BY page) WHERE a = 'c')) WHERE i BETWEEN 31 AND 60
-    UNION ALL SELECT 'page', seq FROM r WHERE page = 12 UNION ALL SELECT 'glyph', seq FROM r WHERE glyph = '一'""")
+    UNION ALL SELECT 'letter', seq::INT FROM (SELECT seq, row_number() OVER (ORDER BY seq) AS i FROM r WHERE page IN (SELECT page FROM (SELECT page, arg_min(lower(reading[1]), seq) AS a FROM e GROUP BY page) WHERE a = 'c')) WHERE i BETWEEN 31 AND 60
+    UNION ALL SELECT 'page', seq::INT FROM r WHERE page = 12 UNION ALL SELECT 'glyph', seq::INT FROM r WHERE glyph = '一'""")
 def book_services(spark, sf_dir):
     c = catalog(spark, sf_dir)
     parts = {"day": c.entry_of_the_day(12345), "letter": c.by_letter("c", 2)[0], "page": c.page_view(12)[1], "glyph": c.glyph_view("一")}

@@ -88,13 +88,13 @@ def tile(queries: Side, candidates: Side, k: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _codes(dims: int):
-    """(id, v) to (id, row, code, scale, residual)."""
+    """(id, row, asked, v, hash of v) to (id, row, asked, code, scale, residual, hash of v)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 code, scale, residual = quantise(batch.column(3).flatten().to_numpy().reshape(-1, dims).astype(np.float64))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale), pa.array(residual)], names=["id", "row", "asked", "code", "scale", "residual"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale), pa.array(residual), batch.column(4)], names=["id", "row", "asked", "code", "scale", "residual", "vector"])
 
     return run
 
@@ -113,9 +113,14 @@ def _tiles(k: int, dims: int):
                 sides = [tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts]
                 # Equal rows lie in one block, so each comes once.
                 q, c = (tuple(x[np.unique(side[1], return_index=True)[1]] for x in side) for side in sides)
+                # Of candidates with one vector only the k + 1 smallest ids can be among a query's k nearest, its own left out.
+                order = np.lexsort((c[0], c[5]))
+                first = np.r_[True, c[5][order][1:] != c[5][order][:-1]]
+                place = np.arange(len(order)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+                c = tuple(x[order[place <= k]] for x in c)
                 for a in range(0, len(q[0]), 512):
                     some = tuple(x[a : a + 512] for x in q)
-                    i, j, low, high = tile(some, c, k)
+                    i, j, low, high = tile(some[:5], c[:5], k)
                     if len(i):
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some[0][i], some[1][i], c[0][j], c[1][j], low, high)], names=["query_id", "query_row", "vec_id", "vec_row", "low", "high"])
 
@@ -124,13 +129,13 @@ def _tiles(k: int, dims: int):
                 continue
             qb, cb, side, ids, rows = (batch.column(i).to_numpy() for i in range(5))
             codes = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int8).reshape(-1, dims)
-            scale, residual = batch.column(6).to_numpy(), batch.column(7).to_numpy()
+            scale, residual, vectors = (batch.column(i).to_numpy() for i in (6, 7, 8))
             cut = np.flatnonzero((qb[1:] != qb[:-1]) | (cb[1:] != cb[:-1]) | (side[1:] != side[:-1])) + 1
             for a, b in zip([0, *cut], [*cut, len(qb)], strict=True):
                 if key != (qb[a], cb[a]):
                     yield from close()
                     key, parts = (qb[a], cb[a]), ([], [])
-                parts[side[a]].append(tuple(x[a:b].copy() for x in (ids, rows, codes, scale, residual)))
+                parts[side[a]].append(tuple(x[a:b].copy() for x in (ids, rows, codes, scale, residual, vectors)))
         yield from close()
 
     return run
@@ -219,8 +224,8 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     # Equal rows give equal pairs, so a row is known by its id and a hash of its vector.
     rows = rows.where(F.size("v") == shape.d).withColumn("row", F.xxhash64("id", "v"))
     qn, cn = -(-shape.q // query_block), -(-shape.n // candidate_block)
-    coded = rows.select("id", "row", "asked", "v").mapInArrow(_codes(shape.d), "id long, row long, asked boolean, code binary, scale double, residual double")
-    columns = ["qb", "cb", "side", "id", "row", "code", "scale", "residual"]
+    coded = rows.select("id", "row", "asked", "v", F.xxhash64("v").alias("vector")).mapInArrow(_codes(shape.d), "id long, row long, asked boolean, code binary, scale double, residual double, vector long")
+    columns = ["qb", "cb", "side", "id", "row", "code", "scale", "residual", "vector"]
     q = coded.where("asked").withColumns({"side": F.lit(0), "qb": F.pmod("row", F.lit(qn)).cast("int")}).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cn - 1))))
     c = coded.withColumns({"side": F.lit(1), "cb": F.pmod("row", F.lit(cn)).cast("int")}).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))))
     tiles = q.select(*columns).unionByName(c.select(*columns)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side")

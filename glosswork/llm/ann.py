@@ -8,6 +8,10 @@ cosine up to a bound from the two residuals. A pair survives if its upper bound
 best lower bound of its query, first in the tile, then over all tiles. Survivors meet their original
 vectors, are recomputed in double precision, and pass through a heap for each query.
 
+A query in a cluster of nearly equal vectors has many survivors, for the bounds cannot tell them apart. Those
+beyond the ``HOT`` best of a tile are dealt over ``PARTS`` parts, each with copies of the tile's k best so that
+bounds of other tiles still prune there; each part has its heap, and the heaps of a query are merged.
+
 Defined results
 * null vectors, vectors of length 0, of another dimension than the most frequent one (the smaller of
   equally frequent ones), or with null or non-finite components take no part;
@@ -35,6 +39,8 @@ from glosswork.llm.store import ship_package
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
 #: 127 * 127 * 1024 < 2**24
 CHUNK_DIMS = 1024
+#: Survivors of a query in a tile that stay together, and parts over which the others are dealt.
+HOT, PARTS = 64, 16
 #: Slack on the bounds for the rounding of the bounds themselves.
 SLACK = 1e-6
 
@@ -99,10 +105,31 @@ def _codes(dims: int):
     return run
 
 
-PAIRS = "query_id long, query_row long, vec_id long, vec_row long, low double, high double"
+PAIRS = "query_id long, query_row long, vec_id long, vec_row long, low double, high double, part int"
+
 
+def deal(i: np.ndarray, row: np.ndarray, low: np.ndarray, k: int, hot: int = HOT, parts: int = PARTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions of pairs, parts, whether it is a copy that only bounds others) of a tile's pairs, ``i`` being their queries.
 
-def _tiles(k: int, dims: int):
+    Part 0 has a query's ``hot`` pairs of the largest lower bounds; each other part that has pairs gets copies of the first k.
+    """
+    order = np.lexsort((-low, i))
+    own = i[order]
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(first, len(own)))
+    place = np.arange(len(own)) - np.repeat(first, sizes)
+    part = np.where(place < hot, 0, 1 + row[order] % parts).astype(np.int32)
+    at, dealt, copy = [order], [part], [np.zeros(len(order), bool)]
+    for a, n in zip(first[sizes > hot], sizes[sizes > hot], strict=True):
+        others = np.unique(part[a + hot : a + n])
+        best = order[a : a + min(k, hot)]
+        at.append(np.tile(best, len(others)))
+        dealt.append(np.repeat(others, len(best)))
+        copy.append(np.ones(len(best) * len(others), bool))
+    return np.concatenate(at), np.concatenate(dealt), np.concatenate(copy)
+
+
+def _tiles(k: int, dims: int, hot: int, parts_of: int):
     """Rows sorted by (qb, cb, side): the queries of a tile come first, then its candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +149,9 @@ def _tiles(k: int, dims: int):
                     some = tuple(x[a : a + 512] for x in q)
                     i, j, low, high = tile(some[:5], c[:5], k)
                     if len(i):
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some[0][i], some[1][i], c[0][j], c[1][j], low, high)], names=["query_id", "query_row", "vec_id", "vec_row", "low", "high"])
+                        at, part, copy = deal(i, c[1][j], low, k, hot, parts_of)
+                        i, j, low, high = i[at], j[at], low[at], np.where(copy, np.nan, high[at])
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some[0][i], some[1][i], c[0][j], c[1][j], low, high, part)], names=["query_id", "query_row", "vec_id", "vec_row", "low", "high", "part"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -142,15 +171,15 @@ def _tiles(k: int, dims: int):
 
 
 def _prune(k: int):
-    """Pairs sorted by (query_id, low descending): those that reach the k-th best lower bound of their query over all tiles."""
+    """Pairs sorted by (query_id, part, low descending): those that reach the k-th best lower bound of their query over all tiles. Copies have no upper bound and go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query, best, least = None, set(), -np.inf
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for n, (q, row, low, high) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 5)), strict=True)):
-                if q != query:
-                    query, best, least = q, set(), -np.inf
+            for n, (q, row, low, high, part) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 5, 6)), strict=True)):
+                if (q, part) != query:
+                    query, best, least = (q, part), set(), -np.inf
                 if len(best) < k:
                     best.add(row)
                     least = low if len(best) == k else least
@@ -161,45 +190,54 @@ def _prune(k: int):
 
 
 def _scored(dims: int):
-    """(query_id, vec_id, vec_row, times, query vector, candidate vector) with the cosine instead of the vectors."""
+    """(query_id, part, vec_id, vec_row, times, query vector, candidate vector) with the cosine instead of the vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                q, c = (batch.column(i).flatten().to_numpy().reshape(-1, dims).astype(np.float64) for i in (4, 5))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(cosines(q, c))], names=["query_id", "vec_id", "vec_row", "times", "score"])
+                q, c = (batch.column(i).flatten().to_numpy().reshape(-1, dims).astype(np.float64) for i in (5, 6))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(cosines(q, c))], names=["query_id", "part", "vec_id", "vec_row", "times", "score"])
 
     return run
 
 
-def _heaps(k: int):
-    """Scored pairs sorted by (query_id, vec_row, score descending) to the k best of each query, one heap at a time."""
+SCORED = "query_id long, part int, vec_id long, vec_row long, times long, score double"
+NEAREST = "query_id long, rank int, vec_id long, score double"
+
+
+def _heaps(k: int, last: bool):
+    """Scored pairs sorted by (query_id, part, vec_row, score descending) to the k best of each part or, in the last step, which has one part, of each query in order."""
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.float64()) if last else (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+    names = [x.split()[0] for x in (NEAREST if last else SCORED).split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, last, heap = None, None, []
-        out: list[tuple[int, int, int, float]] = []
+        key, met, heap = (None, None), None, []
+        out: list[tuple] = []
 
         def close():
-            ranked = [(-c, s) for s, c, times in sorted(heap, reverse=True) for _ in range(min(k, times))][:k]
-            out.extend((query, rank, c, s) for rank, (c, s) in enumerate(ranked, 1))
+            if last:
+                ranked = [(-c, s) for s, c, times, _ in sorted(heap, reverse=True) for _ in range(min(k, times))][:k]
+                out.extend((key[0], rank, c, s) for rank, (c, s) in enumerate(ranked, 1))
+            else:
+                out.extend((*key, -c, row, times, s) for s, c, times, row in heap)
 
         def flush():
-            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "rank", "vec_id", "score"])
+            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
             out.clear()
             return made
 
         for batch in batches:
-            for q, c, row, times, s in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if q != query:
+            for q, part, c, row, times, s in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if (q, part) != key:
                     close()
-                    query, last, heap = q, None, []
-                if (c, row) == last:  # the same candidate by another row of the query's id, no nearer
+                    key, met, heap = (q, part), None, []
+                if (c, row) == met:  # the same candidate by another row of the query's id, no nearer
                     continue
-                last = (c, row)
+                met = (c, row)
                 if len(heap) < k:
-                    heapq.heappush(heap, (s, -c, times))
-                elif (s, -c, times) > heap[0]:
-                    heapq.heapreplace(heap, (s, -c, times))
+                    heapq.heappush(heap, (s, -c, times, row))
+                elif (s, -c, times, row) > heap[0]:
+                    heapq.heapreplace(heap, (s, -c, times, row))
             if len(out) > 10_000:
                 yield flush()
         close()
@@ -209,7 +247,7 @@ def _heaps(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK, hot: int = HOT, parts: int = PARTS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of each row for which ``queries`` holds, by cosine."""
     spark = vectors.sparkSession
     ship_package(spark)
@@ -218,9 +256,8 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     usable = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0)
     rows = vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asked"))
     shape = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).orderBy(F.desc("n"), "d").head()
-    schema = "query_id long, rank int, vec_id long, score double"
     if shape is None or not shape.q:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], NEAREST)
     # Equal rows give equal pairs, so a row is known by its id and a hash of its vector.
     rows = rows.where(F.size("v") == shape.d).withColumn("row", F.xxhash64("id", "v"))
     qn, cn = -(-shape.q // query_block), -(-shape.n // candidate_block)
@@ -229,11 +266,13 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     q = coded.where("asked").withColumns({"side": F.lit(0), "qb": F.pmod("row", F.lit(qn)).cast("int")}).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cn - 1))))
     c = coded.withColumns({"side": F.lit(1), "cb": F.pmod("row", F.lit(cn)).cast("int")}).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))))
     tiles = q.select(*columns).unionByName(c.select(*columns)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side")
-    pairs = tiles.mapInArrow(_tiles(k, shape.d), PAIRS)
-    pairs = pairs.repartition("query_id").sortWithinPartitions("query_id", F.desc("low")).mapInArrow(_prune(k), PAIRS)
+    pairs = tiles.mapInArrow(_tiles(k, shape.d, hot, parts), PAIRS)
+    pairs = pairs.repartition("query_id", "part").sortWithinPartitions("query_id", "part", F.desc("low")).mapInArrow(_prune(k), PAIRS)
     whole = rows.groupBy("id", "row").agg(F.first("v").alias("v"), F.count("*").alias("times"))
     theirs = whole.select(F.col("id").alias("vec_id"), F.col("row").alias("vec_row"), "times", F.col("v").alias("cv"))
     mine = whole.select(F.col("id").alias("query_id"), F.col("row").alias("query_row"), F.col("v").alias("qv"))
-    both = pairs.join(theirs, ["vec_id", "vec_row"]).join(mine, ["query_id", "query_row"]).select("query_id", "vec_id", "vec_row", "times", "qv", "cv")
-    scored = both.mapInArrow(_scored(shape.d), "query_id long, vec_id long, vec_row long, times long, score double")
-    return scored.repartition("query_id").sortWithinPartitions("query_id", "vec_id", "vec_row", F.desc("score")).mapInArrow(_heaps(k), schema)
+    both = pairs.join(theirs, ["vec_id", "vec_row"]).join(mine, ["query_id", "query_row"]).select("query_id", "part", "vec_id", "vec_row", "times", "qv", "cv")
+    scored = both.mapInArrow(_scored(shape.d), SCORED)
+    order = ["query_id", "part", "vec_id", "vec_row", F.desc("score")]
+    best = scored.repartition("query_id", "part").sortWithinPartitions(*order).mapInArrow(_heaps(k, False), SCORED).withColumn("part", F.lit(0))
+    return best.repartition("query_id").sortWithinPartitions(*order).mapInArrow(_heaps(k, True), NEAREST)

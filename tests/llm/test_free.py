@@ -257,6 +257,31 @@ def test_vectors_equal_brute_force(spark, blocks, k):
     assert sorted(map(tuple, got.collect())) == nearest_brute(rows, 10, k)
 
 
+@pytest.mark.parametrize("blocks", [(2048, 16384), (7, 60)])
+def test_clusters_of_nearly_equal_vectors(spark, blocks):
+    """The survivors of a query in a cluster go over several parts, and none is lost."""
+    r = np.random.default_rng(5)
+    centre = r.normal(size=8)
+    rows = [(i, (centre + 1e-5 * r.normal(size=8)).astype(np.float32).tolist()) for i in range(180)]
+    rows += [(i, r.normal(size=8).astype(np.float32).tolist()) for i in range(180, 240)] + [(240, rows[0][1])]
+    df = spark.createDataFrame([(*x, 1) for x in rows], VEC).repartition(4)
+    got = ann.nearest(df, F.col("vec_id") % 20 == 0, k=5, query_block=blocks[0], candidate_block=blocks[1], hot=4, parts=3)
+    assert sorted(map(tuple, got.collect())) == nearest_brute(rows, 20, 5)
+
+
+def test_dealing_keeps_every_pair():
+    r = np.random.default_rng(6)
+    i, row, low = np.sort(r.integers(0, 9, 400)), r.integers(-9, 9, 400), r.normal(size=400)
+    at, part, copy = ann.deal(i, row, low, 5, 10, 4)
+    assert sorted(at[~copy]) == list(range(400)) and part.max() <= 4
+    assert all((part[~copy & (i[at] == q)] == 0).sum() == min(10, (i == q).sum()) for q in range(9))
+    for q in range(9):
+        best = set(np.flatnonzero(i == q)[np.argsort(-low[i == q])][:5])
+        others = np.unique(part[(i[at] == q) & ~copy & (part > 0)])
+        assert all(set(at[copy & (i[at] == q) & (part == p)]) == best for p in others)
+    assert not len(ann.deal(i[:0], row[:0], low[:0], 5)[0])
+
+
 def test_error_bounds_hold():
     r = np.random.default_rng(3)
     for d in (3, 64, 1500):

@@ -10,7 +10,8 @@ vectors, are recomputed in double precision, and pass through a heap for each qu
 
 A query in a cluster of nearly equal vectors has many survivors, for the bounds cannot tell them apart. Those
 beyond the ``HOT`` best of a tile are dealt over ``PARTS`` parts, each with copies of the tile's k best so that
-bounds of other tiles still prune there; each part has its heap, and the heaps of a query are merged.
+bounds of other tiles still prune there. Each part meets its own copy of the query's vector and has its own heap,
+and the heaps of a query are merged. The pairs that survive, without vectors, are written to the shared folder.
 
 Defined results
 * null vectors, vectors of length 0, of another dimension than the most frequent one (the smaller of
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glosswork.llm.store import ship_package
+from glosswork.llm.store import Scratch, ship_package
 
 #: Rows in a block of queries and of candidates, on average.
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
@@ -268,10 +269,13 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     tiles = q.select(*columns).unionByName(c.select(*columns)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side")
     pairs = tiles.mapInArrow(_tiles(k, shape.d, hot, parts), PAIRS)
     pairs = pairs.repartition("query_id", "part").sortWithinPartitions("query_id", "part", F.desc("low")).mapInArrow(_prune(k), PAIRS)
+    pairs = Scratch(spark, "ann").write(pairs, "pairs")
     whole = rows.groupBy("id", "row").agg(F.first("v").alias("v"), F.count("*").alias("times"))
     theirs = whole.select(F.col("id").alias("vec_id"), F.col("row").alias("vec_row"), "times", F.col("v").alias("cv"))
-    mine = whole.select(F.col("id").alias("query_id"), F.col("row").alias("query_row"), F.col("v").alias("qv"))
-    both = pairs.join(theirs, ["vec_id", "vec_row"]).join(mine, ["query_id", "query_row"]).select("query_id", "part", "vec_id", "vec_row", "times", "qv", "cv")
+    own = rows.where("asked").groupBy("id", "row").agg(F.first("v").alias("qv")).withColumnsRenamed({"id": "query_id", "row": "query_row"})
+    side = ["query_id", "query_row", "part"]
+    mine = pairs.select(*side).distinct().join(own, side[:2])
+    both = pairs.join(theirs, ["vec_id", "vec_row"]).join(mine, side).select("query_id", "part", "vec_id", "vec_row", "times", "qv", "cv")
     scored = both.mapInArrow(_scored(shape.d), SCORED)
     order = ["query_id", "part", "vec_id", "vec_row", F.desc("score")]
     best = scored.repartition("query_id", "part").sortWithinPartitions(*order).mapInArrow(_heaps(k, False), SCORED).withColumn("part", F.lit(0))

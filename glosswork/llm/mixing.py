@@ -37,35 +37,49 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("double") / F.lit(float(2**HASH_BITS))
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
+def _sums_before(rows: DataFrame, order: list[Column], sums: dict[str, Column], scratch: Scratch, name: str) -> DataFrame:
+    """``rows`` with, for each name, the sum of its expression over the rows before this one.
+
+    The rows are cut into pages of the order, which are written so that no retry can cut them otherwise. A window never holds
+    more than a page; that over the pages' totals has one row for each page, of which there are at most the shuffle partitions.
+    """
+    paged = scratch.write(rows.repartitionByRange(*order).withColumn("_mix_page", F.spark_partition_id()), name)
+    inside = Window.partitionBy("_mix_page").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    pages = Window.orderBy("_mix_page").rowsBetween(Window.unboundedPreceding, -1)
+    totals = paged.groupBy("_mix_page").agg(*[F.sum(e).alias(f"_mix_t_{n}") for n, e in sums.items()])
+    offsets = totals.select("_mix_page", *[F.coalesce(F.sum(f"_mix_t_{n}").over(pages), F.lit(0)).alias(f"_mix_o_{n}") for n in sums])
+    local = paged.withColumns({n: F.coalesce(F.sum(e).over(inside), F.lit(0)) for n, e in sums.items()})
+    return local.join(offsets, "_mix_page").select(*rows.columns, *[(F.col(n) + F.col(f"_mix_o_{n}")).alias(n) for n in sums])
+
+
+def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float, scratch: Scratch) -> DataFrame:
     """(source, source_size, target) from (source, size).
 
     In order of cap over weight, source k is capped if its cap is at most its
     part of what the sources before it leave; the water level is the largest
-    ``rest / rest of weights`` met on that walk. The windows run over one row
-    for each source.
+    ``rest / rest of weights`` met on that walk. Only one row of totals and the
+    level come to the driver.
     """
-    by_name = Window.orderBy(F.col("_mix_source").isNull(), F.col("_mix_source"))
-    everything = Window.orderBy("_mix_ratio", "_mix_nr")
-    before = everything.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    per = sizes.groupBy("_mix_source").agg(F.sum("_mix_size").alias("_mix_total"))
-    per = per.withColumn("_mix_nr", F.row_number().over(by_name))
-    per = per.withColumn("_mix_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_mix_nr") - 1) % len(weights) + 1).cast("int")))
-    per = per.withColumn("_mix_cap", F.col("_mix_total") * F.lit(float(cap)))
+    per = scratch.write(sizes.groupBy("_mix_source").agg(F.sum("_mix_size").alias("_mix_total")), "sizes")
+    per = _sums_before(per, [F.col("_mix_source").asc_nulls_last()], {"_mix_nr": F.lit(1)}, scratch, "names")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_mix_nr") % len(weights) + 1).cast("int"))
+    per = per.withColumns({"_mix_weight": weight, "_mix_cap": F.col("_mix_total") * F.lit(float(cap))})
     per = per.withColumn("_mix_ratio", F.col("_mix_cap") / F.col("_mix_weight"))
-    rest = F.sum("_mix_total").over(whole) * F.lit(float(share)) - F.coalesce(F.sum("_mix_cap").over(before), F.lit(0.0))
-    weight = F.sum("_mix_weight").over(whole) - F.coalesce(F.sum("_mix_weight").over(before), F.lit(0.0))
-    per = per.withColumn("_mix_part", rest / weight)
-    level = F.max("_mix_part").over(whole)
-    return per.select("_mix_source", "_mix_total", F.least("_mix_cap", F.greatest(level, F.lit(0.0)) * F.col("_mix_weight")).alias("_mix_target"))
+    order = [F.col("_mix_ratio").asc(), F.col("_mix_nr").asc()]
+    walk = _sums_before(per, order, {"_mix_caps": F.col("_mix_cap"), "_mix_weights": F.col("_mix_weight")}, scratch, "ratios")
+    walk = scratch.write(walk, "walk")
+    every = walk.agg(F.sum("_mix_total").alias("total"), F.sum("_mix_weight").alias("weight")).head()
+    rest = F.lit(float((every.total or 0) * share)) - F.col("_mix_caps")
+    level = walk.agg(F.max(rest / (F.lit(float(every.weight or 0)) - F.col("_mix_weights")))).head()[0] or 0.0
+    return walk.select("_mix_source", "_mix_total", F.least("_mix_cap", F.lit(max(level, 0.0)) * F.col("_mix_weight")).alias("_mix_target"))
 
 
 def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
     """One row for each row of ``docs``: its columns plus size, source size, target and copies, as ``_mix_`` columns."""
     sized = docs.withColumns({"_mix_size": word_count(F.col(text_col)), "_mix_key": F.col(source_col)})
-    totals = source_targets(sized.select(F.col("_mix_key").alias("_mix_source"), "_mix_size"), weights, share, cap)
-    totals = Scratch(docs.sparkSession, "mixing").write(totals, "targets")
+    scratch = Scratch(docs.sparkSession, "mixing")
+    totals = scratch.write(source_targets(sized.select(F.col("_mix_key").alias("_mix_source"), "_mix_size"), weights, share, cap, scratch), "targets")
+    scratch.keep("targets")
     width = totals.agg(F.sum(F.coalesce(F.octet_length("_mix_source"), F.lit(0)) + 48)).head()[0] or 0
     if width <= BROADCAST_BYTES:
         totals = F.broadcast(totals)

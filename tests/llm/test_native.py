@@ -198,6 +198,24 @@ def test_targets_equal_resharing(spark, monkeypatch, seed):
         assert int(rate) <= p._mix_copies <= min(2, int(rate) + 1)
 
 
+def test_targets_of_many_sources_in_pages(spark):
+    """Pages of the order are not merged here, so that sums cross them."""
+    r = random.Random(9)
+    rows = [(i, " ".join("w" for _ in range(r.choice([0, 3, 30, 300]))), r.choice([f"h{r.randrange(400)}.example", "hot", None])) for i in range(1500)]
+    sizes = {}
+    for _, text, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(text.split())
+    expected = targets_brute(sizes, (5, 2, 1), 1.5, 2.0)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        plan = mixing.mix_plan(docs(spark, rows)).collect()
+    finally:
+        spark.conf.unset(key)
+    assert len(plan) == len(rows)
+    assert {p.source: p._mix_target for p in plan} == pytest.approx(expected)
+
+
 def test_emission(spark):
     rows = [(i, "w " * 50, f"s{i % 3}") for i in range(900)]
     df = docs(spark, rows)

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glosswork.llm.components import connected_components
+from glosswork.llm.components import joined_components
 from glosswork.llm.store import Scratch, ship_package
 from glosswork.llm.tokens import mix, shingle_sets
 
@@ -532,7 +532,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ties = met.where("need = 0").select("a", "b").join(live.select("a"), "a", "left_semi")
     most = met.where("a <> b").count()
     edges = scratch.write(met.where("need > 0 and a <> b").select("a", "b").unionByName(ties), "edges", most)
-    blocks = connected_components(edges, scratch, "blocks", most)
+    blocks = joined_components(edges, scratch, "blocks")
     members = blocks.join(ids.select(F.col("cls").alias("node"), "n"), "node").join(live.withColumnRenamed("a", "node"), "node", "left")
     members = scratch.write(members.select(F.col("node").alias("cls"), F.col("component").alias("block"), "n", F.coalesce("hits", F.lit(0)).alias("hits")), "members", 2 * most)
     n_members = members.count()
@@ -558,23 +558,25 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     sizes = members.groupBy("block").agg(F.count("*").alias("k"), F.sum("n").alias("total")).where("k > 1")
     sized = members.join(sizes.select("block", pieces_of("k", "total", TILE_CLASSES, TILE_SHINGLES).alias("parts")), "block")
-    own = sized.withColumn("x", F.when(F.col("parts") > 1, part("parts", 1)).otherwise(F.lit(-1)))
+    # Stored, for leaders, tiles and large blocks all start from here.
+    own = scratch.write(sized.withColumn("x", F.when(F.col("parts") > 1, part("parts", 1)).otherwise(F.lit(-1))), "own", n_members)
     leaders = own.where("parts > 1").groupBy("block", "parts", F.pmod(F.xxhash64(F.lit(2), "cls"), F.lit(LEADERS)).alias("salt")).agg(F.max(F.struct("hits", "cls", "x")).alias("l"))
     leaders = leaders.select(F.col("l.cls").alias("cls"), "block", F.col("l.x").alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("x")).where("x <> home")
     tiles = own.select("cls", "block", "x").unionByName(leaders.select("cls", "block", "x"))
     none = {"y": F.lit(-1), "asked": F.lit(True), "label": F.col("cls")}
     checked = verified(tiles.withColumns(none), shipped_sets(members, n_members), "checked")
     links = checked.select(F.col("cls").alias("a"), F.col("root").alias("b"))
-    joined = connected_components(links, scratch, "joined")
+    joined = joined_components(links, scratch, "joined")
 
     # Classes of large blocks that are not in their block's largest group.
-    large = sized.where("parts > 1").join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left").select("cls", "block", "n", F.coalesce("component", "cls").alias("label"))
+    large = own.where("parts > 1").join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left").select("cls", "block", "n", F.coalesce("component", "cls").alias("label"))
     large = scratch.write(large, "large", n_members)
     groups = large.groupBy("block", "label").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
     per = groups.groupBy("block").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("k"), F.sum("total").alias("total"), F.max(F.struct("k", "label", "total")).alias("top_total"))
     per = per.where("top.k < k").select("block", F.col("top.label").alias("top"), "k", "total", (F.col("k") - F.col("top.k")).alias("rest_k"), (F.col("total") - F.col("top_total.total")).alias("rest_total"))
     per = per.select("block", "top", pieces_of("k", "total", REST_CLASSES, REST_SHINGLES).alias("ys"), pieces_of("rest_k", "rest_total", REST_CLASSES, REST_SHINGLES).alias("xs"))
     rest = large.join(per, "block").withColumns({"asked": F.col("label") != F.col("top"), "my_x": part("xs", 3), "my_y": part("ys", 4)})
+    rest = scratch.write(rest, "asked", n_members)
     n_rest = rest.count()
     if n_rest:
         asking = rest.where("asked").select("cls", "block", "label", "asked", F.col("my_x").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ys") - 1)).alias("y"))
@@ -584,7 +586,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         links = links.unionByName(more.select(F.col("cls").alias("a"), F.col("root").alias("b")))
         # The roots of a tile stand for groups known before.
         links = links.unionByName(large.select(F.col("cls").alias("a"), F.col("label").alias("b")))
-        joined = connected_components(links, scratch, "linked")
+        joined = joined_components(links, scratch, "linked")
 
     scratch.keep("classes", "ids", "joined", "linked")
     label = ids.join(joined.select(F.col("node").alias("cls"), F.col("component").alias("root")), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "least_id")

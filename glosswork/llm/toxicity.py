@@ -25,6 +25,8 @@ Defined results
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -184,6 +186,12 @@ def _score(shared, threshold: float):
     return run
 
 
+def give_back() -> None:
+    """Return freed memory to the system, for the driver lives on: the C library keeps what lies between blocks in use."""
+    with contextlib.suppress(OSError, AttributeError):  # a library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> BagModel | None:
     """The model of a bounded sample of the labelled rows that may be learned from."""
     ship_package(docs.sparkSession)
@@ -198,9 +206,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("toxic", "text"), F.xxhash64("text")).alias("_s")).orderBy("doc_id").select("_s.toxic", "_s.text")
     found = sample.mapInArrow(_bags, "toxic int, words binary, sents binary").toLocalIterator()
     bags = [(r.toxic, np.frombuffer(r.words, np.int32), np.frombuffer(r.sents, np.int32)) for r in found]
-    if len({b[0] for b in bags}) < 2:
-        return None
-    return train(bags, counts[1] / sum(counts.values()))
+    model = train(bags, counts[1] / sum(counts.values())) if len({b[0] for b in bags}) == 2 else None
+    del bags
+    give_back()
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: BagModel | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

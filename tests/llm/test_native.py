@@ -8,7 +8,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from glosswork.llm import linededup, mixing, secrets, urls
+from glosswork.llm import components, linededup, mixing, ngramjoin, secrets, urls
 from glosswork.llm.components import connected_components
 from glosswork.llm.store import Scratch
 
@@ -47,6 +47,32 @@ def test_components_equal_union_find(spark, seed):
 
 def test_no_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t")).count() == 0
+    assert components.joined_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t"), "t").count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_contracted_links_give_the_same_components(spark, monkeypatch, chunk):
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    r = random.Random(chunk)
+    path = list(range(300, 340))
+    r.shuffle(path)
+    edges = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + list(zip(path, path[1:], strict=False)) + [(200, 200 + i) for i in range(30)] * 2 + [(None, 1), (5, None)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    want = sorted(map(tuple, connected_components(table, Scratch(spark, "t")).collect()))
+    assert sorted(map(tuple, components.joined_components(table, Scratch(spark, "t"), "t").collect())) == want
+
+
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """A round's plans and broadcasts are the driver's memory: of links that one task holds there are none."""
+
+    def unasked(edges):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(components, "_large", unasked)
+    monkeypatch.setattr(ngramjoin, "TILE_CLASSES", 3)
+    text = [" ".join(f"w{i}" for i in range(40) if i != gap) for gap in (40, 0, 39, 1, 38, 2, 37, 3)] + ["other words that stand alone here"]
+    got = {r.doc_id: r.component_id for r in ngramjoin.ngram_components(docs(spark, [(i, t, None) for i, t in enumerate(text)]), words=2).collect()}
+    assert got == {**dict.fromkeys(range(8), 0), 8: 8}
 
 
 # --- urls ------------------------------------------------------------------------

@@ -51,6 +51,8 @@ MORE_RULES = (
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", hint="eyJ"),
 )
 RULES = BASE_RULES + MORE_RULES
+#: Shuffle partitions whose findings share a file, once there are more such files than tasks at a time.
+PARTITIONS_A_FILE = 16
 
 
 class BlobLedger:
@@ -98,15 +100,24 @@ def _hits(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return rows.where(F.col("_m.good")).select("blob", "kind", "version", (F.col("_end") - F.col("_m.sizes")).alias("start"), F.col("_end").alias("end"))
 
 
+def _few_files(rows: DataFrame) -> DataFrame:
+    """The same rows in few files: a partition of the scan has a handful of them, and the ledger keeps its files for good.
+
+    Each file costs an executor several processes where Hadoop has no native library (``chmod``).
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_A_FILE))
+
+
 def scan(versions: DataFrame, ledger: BlobLedger, *, rules: tuple[Rule, ...] = RULES) -> None:
     """Scan what the ledger has not met of (blob, _text), then append to the ledger."""
     table = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
     pairs = versions.select("blob").distinct().select("blob", F.explode(table).alias("_r")).select("blob", "_r.kind", "_r.version")
     todo = pairs.join(ledger.scanned(), ["blob", "kind", "version"], "left_anti").groupBy("blob").agg(F.collect_set("kind").alias("_todo"))
     scratch = Scratch(ledger.spark, "secrets")
-    todo = scratch.write(todo, "todo")
+    todo = scratch.write(_few_files(todo), "todo")
     blobs = versions.groupBy("blob").agg(F.first("_text").alias("_text")).join(todo, "blob")
-    _hits(blobs, rules).write.mode("append").parquet(f"{ledger.root}/findings")
+    _few_files(_hits(blobs, rules)).write.mode("append").parquet(f"{ledger.root}/findings")
     versions_of = F.create_map(*[x for r in rules for x in (F.lit(r.kind), F.lit(r.version))])
     todo.select("blob", F.explode("_todo").alias("kind")).select("blob", "kind", versions_of[F.col("kind")].alias("version")).write.mode("append").parquet(f"{ledger.root}/scanned")
     scratch.drop("todo")

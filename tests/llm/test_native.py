@@ -308,6 +308,23 @@ def test_the_ledger_scans_what_is_new(spark):
     assert ledger.findings().count() == before
 
 
+def test_a_scan_adds_few_files(spark):
+    wanted = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        ledger = secrets.BlobLedger(spark, Scratch(spark, "ledger").root)
+        got = secrets.find_secrets(docs(spark, [(i, f"k{i}", "") for i in range(200)]), rules=(secrets.Rule("a", "k[0-9]+"),), ledger=ledger)
+        assert {r.doc_id: [tuple(x)[0::3] for x in r._sec_spans] for r in got.collect()} == {i: [(0, 1 + len(str(i)))] for i in range(200)}
+        most = spark.sparkContext.defaultParallelism
+        assert len(ledger.findings().inputFiles()) <= most + 1  # and that of the empty ledger
+        assert ledger.findings().count() == ledger.scanned().count() == 200
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_digest(spark):
     row = secrets.find_secrets(docs(spark, [(1, "token=abcdef", None)])).select(F.sha2(secrets.span_list(F.col("_sec_spans")), 256).alias("h")).head()
     assert row.h == hashlib.sha256(b"assign:0:12").hexdigest()

@@ -213,6 +213,27 @@ def test_lines_from_runs(spark):
     ]
 
 
+def test_lines_are_gathered_in_pieces(spark):
+    """Against a plain loop, with missing values; no window of the plan sees the runs."""
+    r = random.Random(5)
+    rows = [("b", r.choice([1, 2, None]), 100.0, n, r.choice([10.0, 20.0, 30.0, 60.0, None]), r.choice([5.0, 7.0, None]), r.choice(["x", "y", "", None]), r.choice(["regular", "italic", None])) for n in range(300)]
+    df = group_lines(spark.createDataFrame(rows, "book string, page int, width double, run_no int, x double, y double, text string, style string"))
+    lines = {}
+    for _, page, width, n, x, y, text, style in sorted(rows, key=lambda t: (t[4] is not None, t[4], t[3])):
+        segments = lines.setdefault((page, "right" if x is None or x >= width / 2 else "left", y), [])
+        if not segments or segments[-1][0] != style:
+            segments.append((style, ""))
+        segments[-1] = (style, segments[-1][1] + (text or ""))
+    want, last, number = [], None, 0
+    for page, side, y in sorted(lines, key=lambda k: (k[0] is not None, k[0] or 0, k[1], k[2] is None, -(k[2] or 0))):
+        number, last = (number + 1 if page == last and number else 1), page
+        want.append((page, number, side, y, lines[page, side, y], "".join(t for _, t in lines[page, side, y])))
+    got = [(x.page, x.line_no, x.column, x.y, [tuple(s) for s in x.segments], x.text) for x in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "run_no" not in plan
+
+
 def test_leading_style(spark):
     df = spark.createDataFrame([([("regular", " "), ("italic", "x")],), ([],)], "s array<struct<style:string,text:string>>")
     assert [r.x for r in df.select(E.leading_style(F.col("s")).alias("x")).collect()] == ["italic", None]

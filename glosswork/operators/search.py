@@ -12,7 +12,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ MODES = ("auto", "han-nom", "quoc-ngu", "toan-van")
 LONGEST_QUERY, PAGE_SIZE, PAGE_LIMIT, SUGGESTIONS, SIMILAR = 200, 30, 200, 8, 0.3
 WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2}
 TOKEN = r"[\p{L}\p{N}]+"
+#: Tokens that the index handles at a time; a longer text is one slice.
+SLICE_TOKENS = 250_000
 
 
 @dataclass(frozen=True)
@@ -228,19 +232,30 @@ def browser_search(entries: DataFrame, raw: str, mode: str = "auto", limit: int
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, words, places = [], [], []
-        for row, found in enumerate(batch.column(1).to_pylist()):
-            own: dict[str, list[int]] = {}
-            for i, token in enumerate(found or ()):
-                own.setdefault(token, []).append(i)
-            rows += [row] * len(own)
-            words += own
-            places += own.values()
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.list_(pa.int32()))], names=["token", batch.schema.names[0], "positions"])
+        keys, lists = batch.columns
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, "right")))
+            yield _indexed(batch.schema.names[0], keys.slice(start, stop - start), lists.slice(start, stop - start), np.diff(ends[start:stop], prepend=before))
+            start = stop
+
+
+def _indexed(name: str, keys: pa.Array, lists: pa.Array, sizes: np.ndarray) -> pa.RecordBatch:
+    """The postings of some rows. Their tokens stay in Arrow; rows, codes and places are numbers."""
+    coded = lists.flatten().dictionary_encode()
+    codes, row = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    group = row * max(1, len(coded.dictionary)) + codes
+    order = np.argsort(group, kind="stable")
+    firsts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    positions = pa.ListArray.from_arrays(pa.array(np.append(firsts, len(row)), pa.int32()), pa.array(place[order], pa.int32()))
+    return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(codes[order[firsts]])), keys.take(pa.array(row[order[firsts]])), positions], names=["token", name, "positions"])
 
 
 def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(token, key, positions): the inverted index. A text is indexed where it lies, in Arrow batches; nothing is shuffled."""
+    """(token, key, positions): the inverted index. A text is indexed where it lies, in slices of Arrow batches; nothing is shuffled."""
     ship_package(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, tokens(F.col(text)).alias("_t")).mapInArrow(_positions, f"token string, {key} {kind}, positions array<int>")

@@ -294,3 +294,17 @@ def test_offline_rules(seed):
     assert got("LÕM") == [(2, 0), (7, 2), (3, 3), (4, 3)]
     assert got("惡") == [(5, 1), (6, 1)] and got("NAM guom", "toan-van") == [(2, 4)]
     assert got("lomm") and {t for _, t in got("lomm")} == {5} and got("zz") == []
+
+
+def test_postings_go_in_slices(monkeypatch):
+    """Whole rows, with no more tokens at a time than a slice holds or one row has; against a plain loop."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "SLICE_TOKENS", 7)
+    r = random.Random(1)
+    texts = [[r.choice("abcdé") for _ in range(n)] for n in (3, 0, 4, 5, 20, 0, 1, 6)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.list_(pa.string()))], names=["k", "_t"])
+    out = list(search._positions(iter([batch.slice(0, 0), batch, batch.slice(2, 3)])))
+    got = sorted((x["k"], x["token"], x["positions"]) for b in out for x in b.to_pylist())
+    assert got == sorted((k, t, [i for i, x in enumerate(texts[k]) if x == t]) for k in [*range(len(texts)), 2, 3, 4] for t in set(texts[k] or ()))
+    assert all(sum(len(x["positions"]) for x in b.to_pylist()) <= 7 or b.num_rows and len(set(b.column(1).to_pylist())) == 1 for b in out)
